@@ -130,9 +130,9 @@ def contained_items(
     scratch = Scratch(docs.sparkSession, "containment")
     items = scratch.save(prepare_items(items, ident=item_id, text=item_text, words=words), "items")
     sizes = {r.k: r.n for r in items.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 13 rows
-    none = docs.sparkSession.createDataFrame([], "doc long, item long, shared int, item_shingles int")
     if not sizes:
-        return none
+        nothing = F.lit(None).cast("int")
+        return items.select(F.lit(0).cast("long").alias("doc"), "item", nothing.alias("shared"), nothing.alias("item_shingles")).where("false")
     bands = _item_bands(items)
     small = sum(n * max(HASHES, TINY) for n in sizes.values()) <= BROADCAST_ROWS
     bounded = F.broadcast if small else lambda df: df

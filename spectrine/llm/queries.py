@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_dedup
+from . import byte_bpe, decontaminate, license_scan, line_dedup, near_dup, quality, sharding, token_count, topk, warc
 
 _MODULES = {
     "op1_line_dedup": line_dedup,
     "op2_license_scan": license_scan,
     "op3_decontaminate": decontaminate,
+    "op4_token_count": token_count,
+    "op5_warc_revisits": warc,
+    "op6_byte_bpe": byte_bpe,
+    "op7_quality": quality,
+    "op8_topk": topk,
+    "op9_near_dup": near_dup,
+    "op10_sharding": sharding,
 }
 
 
