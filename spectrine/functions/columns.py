@@ -32,10 +32,10 @@ def snv(x: Column) -> Column:
     """(x - mean) / population deviation of the row; zeros for a constant row."""
 
     def centred(v: Column) -> Column:
-        return let(total(v) / F.size(v), lambda m: F.transform(v, lambda a: a - m))
+        return let(total(v) / F.greatest(F.size(v), F.lit(1)), lambda m: F.transform(v, lambda a: a - m))
 
     def scaled(c: Column) -> Column:
-        deviation = F.sqrt(total(F.transform(c, lambda a: a * a)) / F.size(c))
+        deviation = F.sqrt(total(F.transform(c, lambda a: a * a)) / F.greatest(F.size(c), F.lit(1)))
         return let(
             deviation,
             lambda s: F.transform(c, lambda a: F.when(s > 1e-12, a / s).otherwise(F.lit(0.0))),

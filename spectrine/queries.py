@@ -330,9 +330,10 @@ def last_write_wins(spark, sf_dir):
     return audit.last_write_wins(events, "user_id", F.struct("ts", "event_id")).select("user_id", "event_id")
 
 
-@register("unique_match", "SELECT o_custkey, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_matches, CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') = 1 THEN min(o_orderkey) FILTER (WHERE o_orderpriority = '1-URGENT') END AS o_orderkey FROM orders GROUP BY o_custkey")
+@register("unique_match", "SELECT o_custkey, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_matches, CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') = 1 THEN min(o_orderkey) FILTER (WHERE o_orderpriority = '1-URGENT') ELSE -1 END AS o_orderkey FROM orders GROUP BY o_custkey")
 def unique_match(spark, sf_dir):
-    return audit.unique_per_group(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderpriority") == "1-URGENT", "o_orderkey")
+    out = audit.unique_per_group(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderpriority") == "1-URGENT", "o_orderkey")
+    return out.withColumn("o_orderkey", F.coalesce("o_orderkey", F.lit(-1)).cast("long"))
 
 
 @register("distinct_sorted", "SELECT u.v AS status FROM (SELECT list_sort(list(DISTINCT o_orderstatus)) AS s FROM orders), unnest(s) AS u(v)")
@@ -417,13 +418,13 @@ def source_ids(spark, sf_dir):
     return df.select("s_suppkey", audit.source_id(F.col("s_suppkey"), "name").alias("source_id"))
 
 
-@register("header_slices", "SELECT p_partkey, CASE WHEN p_size <= 60 AND p_size - p_partkey % 10 >= 0 THEN CAST(least(p_partkey % 10, p_size) AS BIGINT) END AS n_headers FROM part")
+@register("header_slices", "SELECT p_partkey, CASE WHEN p_size <= 60 AND p_size - p_partkey % 10 >= 0 THEN CAST(least(p_partkey % 10, p_size) AS BIGINT) ELSE -1 END AS n_headers FROM part")
 def header_slices(spark, sf_dir):
     headers = F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: i.cast("string"))
     stop = F.col("p_size")
     start = (stop - F.col("p_partkey") % 10).cast("int")
     cut = audit.slice_headers(headers, start, stop)
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(cut.isNotNull(), F.size(cut)).cast("long").alias("n_headers"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.when(cut.isNotNull(), F.size(cut)).otherwise(-1).cast("long").alias("n_headers"))
 
 
 @register("declared_counts", "SELECT d.doc_id, CAST(CASE WHEN d.n_chars IS DISTINCT FROM length(d.text) THEN 1 ELSE 0 END AS BIGINT) AS n_gaps FROM documents d")
