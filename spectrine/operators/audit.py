@@ -242,3 +242,15 @@ def delta_maxima(a: DataFrame, b: DataFrame) -> DataFrame:
         F.max(F.abs(F.col("rmse_a") - F.col("rmse_b"))).alias("max_abs_rmse"),
         F.max("max_abs_prediction").alias("max_abs_prediction"),
     )
+
+
+def runtime_alignment(result: DataFrame, samples: DataFrame) -> DataFrame:
+    """One row: how many test positions a result has, how many resolve to a sample id, and whether counts of
+    ids, predictions and targets are equal. ``result`` is (position, target, prediction), ``samples`` (position, sample_id)."""
+    known = result.join(samples, "position", "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("n_positions"),
+        F.count("sample_id").alias("n_ids"),
+        F.count("prediction").alias("n_predictions"),
+        F.count("target").alias("n_targets"),
+    ).withColumn("aligned", (F.col("n_ids") == F.col("n_predictions")) & (F.col("n_ids") == F.col("n_targets")) & (F.col("n_ids") == F.col("n_positions")))

@@ -238,3 +238,12 @@ def compile_plan(source: Any) -> Plan:
     if operator_of(model["model"].get("class")) != "PLSRegression":
         raise DefinitionError(f"class {model['model'].get('class')!r} is no model")
     return Plan(test_size, tuple(preprocessing), component_counts(model))
+
+
+def parity(a: Any, b: Any) -> dict[str, bool]:
+    """Whether two definitions agree in classes, random state, name and plan."""
+    a, b = load(a), load(b)
+    return {
+        "classes": class_names(a) == class_names(b), "random_state": a.random_state == b.random_state,
+        "name": a.name == b.name, "plan": compile_plan(a) == compile_plan(b),
+    }

@@ -352,6 +352,27 @@ def uniformity(spark, sf_dir):
     return audit.uniform(table(spark, sf_dir, "lineitem").withColumn("width", F.lit(2)), "l_returnflag", "width")
 
 
+@register("runtime_alignment", "SELECT count(*) AS n_positions, count(c.c_name) AS n_ids, count(o.o_totalprice) AS n_predictions, count(o.o_orderkey) AS n_targets, count(c.c_name) = count(*) AND count(o.o_totalprice) = count(*) AS aligned FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o.o_custkey")
+def runtime_alignment(spark, sf_dir):
+    result = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("position"), F.col("o_orderkey").alias("target"), F.col("o_totalprice").alias("prediction"))
+    samples = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("position"), F.col("c_name").alias("sample_id"))
+    return audit.runtime_alignment(result, samples)
+
+
+@register("tolerance_consistency", "SELECT o_orderkey, abs(abs(o_totalprice - o_custkey) - round(abs(o_totalprice - o_custkey), 1)) <= 1e-12 AND round(abs(o_totalprice - o_custkey), 1) <= 100000 AS ok FROM orders")
+def tolerance_consistency(spark, sf_dir):
+    a, b = F.col("o_totalprice"), F.col("o_custkey")
+    ok = audit.consistent(a, b, F.round(F.abs(a - b), 1), tolerance=100000.0)
+    return table(spark, sf_dir, "orders").select("o_orderkey", ok.alias("ok"))
+
+
+@register("first_by_role", "SELECT o_custkey, min(o_orderkey) FILTER (WHERE o_orderstatus = 'P') AS first_key FROM orders GROUP BY o_custkey HAVING count(*) FILTER (WHERE o_orderstatus = 'P') > 0")
+def first_by_role(spark, sf_dir):
+    own = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("items"))
+    first = audit.first_of("items", lambda x: x["o_orderstatus"] == "P")
+    return own.select("o_custkey", first["o_orderkey"].alias("first_key")).where("first_key is not null")
+
+
 @register("best_task", "SELECT o_custkey, arg_min(o_orderkey, struct_pack(m := o_totalprice, k := o_orderkey)) AS best_id, min(o_totalprice) AS best_metric FROM orders GROUP BY o_custkey")
 def best_task(spark, sf_dir):
     return audit.best_task(table(spark, sf_dir, "orders"), metric="o_totalprice", ident="o_orderkey", order="o_orderkey", keys=["o_custkey"])
@@ -470,6 +491,44 @@ _CELL = (
 )
 
 
+def _archive_bytes(name: str, refs: dict, members: dict, version: int, flip: bool = False) -> bytes:
+    data = archive.pack(archive.template(name, refs, version), members)
+    if flip:  # another byte in the first member
+        at = data.index(b"PK\x03\x04", 4)
+        at += 30 + int.from_bytes(data[at + 26 : at + 28], "little")
+        data = data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :]
+    return data
+
+
+def _archives(spark: SparkSession) -> str:
+    """A folder of three small archives, written through Spark's file system to the shared folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/spectrine-archives"
+    root = f"{root.rstrip('/')}/archives"
+    refs, members = {"model": ["m.bin"], "package": ["p.json"]}, {"m.bin": b"model", "p.json": b"{}"}
+    made = {
+        "v1.zip": _archive_bytes("one", refs, members, 1), "v2.zip": _archive_bytes("two", refs, members, 2),
+        "flipped.zip": _archive_bytes("bad", refs, members, 2, flip=True),
+    }
+    jvm = spark._jvm
+    for name, data in made.items():
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    return root
+
+
+@register("archive_members", "SELECT * FROM (VALUES ('flipped.zip', 'm.bin', 5::BIGINT), ('flipped.zip', 'p.json', 2), ('v1.zip', 'm.bin', 5), ('v1.zip', 'p.json', 2), ('v2.zip', 'm.bin', 5), ('v2.zip', 'p.json', 2)) AS t(archive, path, size)")
+def archive_members(spark, sf_dir):
+    return archive.archive_members(spark, _archives(spark)).where(F.col("path") != archive.MANIFEST).select("archive", "path", "size")
+
+
+@register("archive_refusals", "SELECT * FROM (VALUES ('flipped.zip', 'integrity'), ('v1.zip', 'unsupported_capability'), ('v2.zip', 'none')) AS t(archive, refusal_code)")
+def archive_refusals(spark, sf_dir):
+    report = archive.archive_report(spark, _archives(spark), execute=True)
+    return report.select("archive", F.coalesce("refusal_code", F.lit("none")).alias("refusal_code"))
+
+
 @register("synthetic_dataset", f"SELECT r AS sample_id, c + 1 AS j, round({_CELL}, 6) + 0.0 AS value FROM range(0, 40) AS a(r), range(0, 28) AS b(c)")
 def synthetic_dataset(spark, sf_dir):
     return matrix.long_form(datasets.synthetic(spark))

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from spectrine.errors import DefinitionError
-from spectrine.plans.definition import Plan, class_names, compile_plan, load
+from spectrine.plans.definition import Plan, class_names, compile_plan, load, parity
 
 KS = {"class": "lib.operators.splitters.KennardStoneSplitter", "params": {"test_size": 0.3}}
 SNV = {"class": "lib.operators.transforms.SNV"}
@@ -71,3 +71,9 @@ def test_parameters():
     plan = compile_plan([{**SG, "params": {"window": "7", "window_length": None, "polyorder": 2, "mode": "NEAREST", "cval": 1}}, {"model": {**PLS, "params": {"n_components": 3}}}])
     assert plan.preprocessing == (("SavitzkyGolay", (7, 2, 0, "nearest", 1.0)),) and plan.n_components == (3,) and plan.test_size is None
     assert compile_plan([{"model": PLS}]).n_components == (2,)
+
+
+def test_parity_of_two_definitions():
+    steps = [KS, SNV, SWEEP]
+    assert all(parity(steps, json.dumps(steps)).values())
+    assert parity(steps, [SNV, SWEEP]) == {"classes": False, "random_state": True, "name": True, "plan": False}
