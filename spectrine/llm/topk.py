@@ -30,6 +30,8 @@ QUERIES, CANDIDATES = 512, 4096
 LEVELS = (1, 4, 16)
 #: Components beyond this magnitude take exact Python integers instead of float64 products.
 EXACT = 2**20
+#: A block with more than one survivor in so many pairs is scored as a whole.
+DENSE = 64
 
 
 def quantise(df: DataFrame, *, vector: str = "embedding", ident: str = "vec_id", scale: int = SCALE) -> DataFrame:
@@ -62,6 +64,23 @@ def _floor_of(best: np.ndarray, k: int) -> np.ndarray:
     return np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k]
 
 
+def _exact(q: np.ndarray, c: np.ndarray, alive: np.ndarray, k: int):
+    """(row, column, score) of survivors that can be among the k best of their row.
+
+    Few survivors are gathered pair by pair; many are cheaper as one matrix product.
+    Products of integers below 2**53 are exact in float64.
+    """
+    if np.count_nonzero(alive) * DENSE < alive.size:
+        rows, cols = np.nonzero(alive)
+        parts = [np.einsum("nd,nd->n", q[rows[a : a + 65536]], c[cols[a : a + 65536]]) for a in range(0, len(rows), 65536)]
+        return rows, cols, np.rint(np.concatenate([*parts, np.zeros(0)])).astype(np.int64)
+    scores = np.where(alive, q @ c.T, -np.inf)
+    if scores.shape[1] > k:
+        alive = alive & (scores >= _floor_of(scores, k)[:, None])
+    rows, cols = np.nonzero(alive)
+    return rows, cols, np.rint(scores[rows, cols]).astype(np.int64)
+
+
 def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int):
     """(query_id, vec_id, score) of the k best candidates of each query in one pair of blocks."""
     exact = max(np.abs(q).max(initial=0), np.abs(c).max(initial=0)) < EXACT
@@ -79,11 +98,7 @@ def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k
                 scores[~np.take_along_axis(alive, likely, 1)] = -np.inf
                 floor = np.maximum(floor, _floor_of(scores, k))
                 alive &= bound + 1e-9 * norm + 1e-6 >= floor[:, None]
-        rows, cols = np.nonzero(alive)
-        score = np.concatenate(
-            [np.einsum("nd,nd->n", qf[rows[a : a + 65536]], cf[cols[a : a + 65536]]) for a in range(0, len(rows), 65536)] or [np.zeros(0)]
-        )
-        score = np.rint(score).astype(np.int64)
+        rows, cols, score = _exact(qf, cf, alive, k)
     else:
         rows, cols = np.nonzero(~own)
         qo, co = q.astype(object), c.astype(object)
