@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bound_batches
+
 PIECE = 65_536
 
 _SAFE = re.compile(r"(?<=\S)[ \n]")
@@ -91,6 +93,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, text: str = "t
     and null ids need no rule. Columns of the added names are replaced. An empty
     table gives an empty table.
     """
+    bound_batches(docs.sparkSession)
     return (
         docs.withColumn("ids", encode(F.col(text), path, pattern, size=size))
         .withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

@@ -3,8 +3,8 @@
 A document's signature is ``VALUES`` MinHash values of 16 bits each; the distance of
 two signatures is the number of values that differ. Sets of Jaccard similarity J
 differ in each value with chance 1 - J, so with 64 values and J = 0.8 more than
-``DISTANCE`` = 26 values differ with a chance of about 3 in 100,000; above 0.85 it is
-below one in ten million.
+``DISTANCE`` = 26 values differ with a chance of about 4 in 100,000; from 0.85 on it is
+below 2 in ten million.
 
 Every pair within that distance is found for certain: the signature is split into
 ``CHUNKS`` = 14 chunks, so some chunk differs in at most floor(26 / 14) = 1 value, and
@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bound_batches
 from .components import components
 from .scratch import Scratch
 from .shingles import let
@@ -183,6 +184,7 @@ def near_duplicates(
     The signature settings assume ``percent`` >= 80.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "near_dup")
     texts = docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text"))
     rows = scratch.save(

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bound_batches
+
 THRESHOLD = 0.7
 MAX_FIT = 20_000
 HIDDEN = 16
@@ -173,6 +175,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _sample(df: DataFrame, at_most: int) -> np.ndarray:
     """Features of about ``at_most`` rows of (doc_id, text), chosen by a hash of the id."""
+    bound_batches(df.sparkSession)
     n = df.select(F.count(F.lit(1))).first()[0]
     if n > at_most:
         df = df.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * at_most / n))
@@ -225,6 +228,7 @@ def classify(docs: DataFrame, model: Model, *, text: str = "text", threshold: fl
     scored one by one, repeated ones alike. Columns of the added names are
     replaced. An empty table gives an empty table.
     """
+    bound_batches(docs.sparkSession)
     scored = docs.withColumn("score", score(F.col(text), model))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bound_batches
+
 CHUNK = 32_768
 OVERLAP = 512
 LIMIT = 2048
@@ -146,6 +148,7 @@ def count_tokens(docs: DataFrame, path: str, *, text: str = "text", limit: int =
     rows, null ids and ties need no rule. Columns of the added names are replaced.
     An empty table gives an empty table.
     """
+    bound_batches(docs.sparkSession)
     return (
         docs.withColumn("n_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
         .withColumn("n_tokens", token_count(F.col(text), path, **options))
