@@ -122,38 +122,41 @@ def resolve_revisits(records: DataFrame, *, slice_seconds: int = SLICE_SECONDS)
         .select("canonical_url", "t", "rid", F.col("ref.t").alias("ref_t"), F.col("ref.rid").alias("ref_rid"))
         .distinct()
     )
+    # only responses that something refers to are moved, and each once; records that are no revisit stay where they are
+    spot = ["canonical_url", "ref_t", "ref_rid"]
     stored = rows.where(known & full).select(
         "canonical_url", time.alias("ref_t"), F.coalesce("record_id", F.lit("")).alias("ref_rid"),
         F.col("_headers").alias("_stored"), F.col("body").alias("_body"),
-    ).dropDuplicates(["canonical_url", "ref_t", "ref_rid"])
-    matched = found.join(stored, ["canonical_url", "ref_t", "ref_rid"]).select(
-        F.col("canonical_url").alias("_u"), F.col("t").alias("_t"), F.col("rid").alias("_rid"), "ref_rid", "_stored", "_body"
-    )
-    joined = rows.withColumn("_q", asked).join(
-        matched,
-        F.col("_q") & (F.col("canonical_url") == F.col("_u")) & (time == F.col("_t")) & (F.coalesce("record_id", F.lit("")) == F.col("_rid")),
+    ).join(found.select(*spot).distinct(), spot, "left_semi").dropDuplicates(spot)
+    named = found.select(F.col("canonical_url").alias("_u"), F.col("t").alias("_t"), F.col("rid").alias("_rid"), "ref_t", "ref_rid")
+    revisits = rows.where(asked).join(
+        named,
+        (F.col("canonical_url") == F.col("_u")) & (time == F.col("_t")) & (F.coalesce("record_id", F.lit("")) == F.col("_rid")),
         "left",
     )
+    joined = revisits.join(stored, spot, "left")
     tags = (_weak(F.element_at("_headers", F.lit("etag"))), _weak(F.element_at("_stored", F.lit("etag"))))
     dates = (F.element_at("_headers", F.lit("last-modified")), F.element_at("_stored", F.lit("last-modified")))
     agree = F.coalesce(tags[0] == tags[1], F.trim(dates[0]) == F.trim(dates[1]))
     outcome = (
-        F.when(~asked, F.when(F.col("warc_type") == "response", "response").otherwise("other"))
-        .when(F.col("ref_rid").isNull(), "unresolved")
-        .when(agree.isNull(), "unvalidated")
-        .when(agree, "resolved")
-        .otherwise("mismatch")
+        F.when(F.col("ref_rid").isNull(), "unresolved").when(agree.isNull(), "unvalidated").when(agree, "resolved").otherwise("mismatch")
     )
     news = F.map_filter("_headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("_stored", lambda k, v: ~F.map_contains_key(news, k)), news)
     whole = F.col("outcome").isin("resolved", "unvalidated")
-    return (
+    answered = (
         joined.withColumn("outcome", outcome)
         .withColumn("refers_to", F.when(whole, F.col("ref_rid")))
         .withColumn("merged_headers", F.when(whole, merged).otherwise(F.col("_headers")))
         .withColumn("merged_body", F.when(whole, F.col("_body")).otherwise(F.col("body")))
         .select(*keep, *added)
     )
+    rest = rows.where(~asked).select(
+        *keep, "canonical_url", F.lit(None).cast("string").alias("refers_to"),
+        F.when(F.col("warc_type") == "response", "response").otherwise("other").alias("outcome"),
+        F.col("_headers").alias("merged_headers"), F.col("body").alias("merged_body"),
+    )
+    return rest.unionByName(answered)
 
 
 def _member(row) -> bytes:
