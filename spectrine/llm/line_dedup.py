@@ -23,15 +23,29 @@ LG_K = 12
 MAX_REMOVED_SHARE = 0.5
 
 
+def bare_line(line: Column) -> Column:
+    """A line without its outer blanks; tabs and carriage returns are blanks."""
+    return F.trim(F.regexp_replace(line, r"[\t\r]", " "))
+
+
 def line_key(line: Column) -> Column:
     """128 bits of a line without its outer blanks; null for a blank line."""
-    bare = F.trim(F.regexp_replace(line, r"[\t\r]", " "))
+    bare = bare_line(line)
     return F.when(
         F.length(bare) > 0,
         F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(bare, F.lit(1)).alias("b")),
     )
 
 
+def sequence_key(lines: Column) -> Column:
+    """128 bits of the non-blank lines in order, without their outer blanks."""
+
+    def keyed(bare: Column) -> Column:
+        return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(bare, F.lit(1)).alias("b"))
+
+    return let(F.array_remove(F.transform(lines, bare_line), ""), keyed)
+
+
 def lines_of(docs: DataFrame, text: str = "text") -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
@@ -90,10 +104,12 @@ def remove_boilerplate(
     """Every row and column of ``docs``, with boilerplate lines cut out of ``text``.
 
     Adds ``n_lines`` (lines of the text, blank ones too), ``n_boilerplate`` (lines
-    that are boilerplate) and ``n_removed`` (lines cut). A document whose
-    boilerplate holds more than ``max_removed_share`` of its non-blank characters
-    is no page with boilerplate but a copy of another page: it stays as it is, for
-    near-duplicate removal to judge, and ``n_removed`` is 0. Lines that stay keep
+    that are boilerplate) and ``n_removed`` (lines cut). A document is a copy of
+    another page when its boilerplate holds more than ``max_removed_share`` of its
+    non-blank characters and another row has the same non-blank lines in the same
+    order, outer blanks aside: it stays as it is, for near-duplicate removal to
+    judge, and ``n_removed`` is 0. All other pages are cut, whatever the
+    boilerplate's share; so are copies with edited lines. Lines that stay keep
     their order and bytes.
 
     Null text: null, with ``n_lines`` 0. Empty text: empty, one blank line. Null
@@ -109,26 +125,34 @@ def remove_boilerplate(
     added = ("n_lines", "n_boilerplate", "n_removed")
     kept = [c for c in docs.columns if c not in added]
     rows = docs.select(*[F.col(c) for c in kept])
-    # One key per distinct text: identical texts have identical boilerplate positions.
+    # One key per distinct text: identical texts have identical boilerplate positions,
+    # each counted once a row.
     key = F.struct(F.xxhash64(F.col(text)).alias("a"), F.xxhash64(F.col(text), F.lit(1)).alias("b"))
     found = (
-        docs.select(key.alias("_row"), F.posexplode(lines_of(docs, text)).alias("_pos", "line"))
-        .select("_row", "_pos", line_key(F.col("line")).alias("k"))
+        docs.select(key.alias("_row"), lines_of(docs, text).alias("_lines"))
+        .select("_row", sequence_key(F.col("_lines")).alias("_seq"), "_lines")
+        .select("_row", "_seq", F.posexplode("_lines").alias("_pos", "line"))
+        .select("_row", "_seq", "_pos", line_key(F.col("line")).alias("k"))
         .join(marks, "k", "left_semi")
         .groupBy("_row")
-        .agg(F.collect_set("_pos").alias("_cut"))
+        .agg(F.first("_seq").alias("_seq"), F.collect_set("_pos").alias("_cut"), F.count(F.lit(1)).alias("_seen"))
+        .select("_row", "_seq", "_cut", (F.col("_seen") / F.size("_cut")).cast("long").alias("_pages"))
     )
+    # Rows with equal lines are all in ``found`` or none is, so every other row counts.
+    found = scratch.save(found, "found")
+    repeated = found.groupBy("_seq").agg(F.sum("_pages").alias("n")).where("n > 1").select("_seq", F.lit(True).alias("_repeated"))
+    found = found.join(repeated, "_seq", "left").select("_row", "_cut", "_repeated")
+
     def bare_chars(lines: Column) -> Column:
-        return F.aggregate(
-            lines, F.lit(0).cast("long"), lambda n, x: n + F.length(F.trim(F.regexp_replace(x, r"[\t\r]", " ")))
-        )
+        return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(bare_line(x)))
 
     def at(lines: Column, where: Column) -> Column:
         return F.transform(where, lambda i: F.get(lines, i))
 
     def judged(lines: Column) -> Column:
         cut = F.coalesce(F.col("_cut"), F.array().cast("array<int>"))
-        copied = bare_chars(at(lines, cut)) > F.lit(max_removed_share) * bare_chars(lines)
+        heavy = bare_chars(at(lines, cut)) > F.lit(max_removed_share) * bare_chars(lines)
+        copied = F.coalesce(F.col("_repeated"), F.lit(False)) & heavy
         removed = F.when(F.size(cut) == 0, F.lit(0)).when(copied, F.lit(0)).otherwise(F.size(cut))
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
         return F.struct(

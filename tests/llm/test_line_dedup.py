@@ -27,6 +27,16 @@ def test_copies_are_left_whole(documents):
     assert all(r.n_boilerplate == 3 and r.n_removed == 0 and r.text == rows[0][1] for r in got)
 
 
+def test_short_pages_are_cut_whatever_the_share(documents):
+    head = "A long line that stands at the head of every page of a dozen sites"
+    rows = [(i, f"{head}\nown {i}", "en", f"s{i}") for i in range(12)]
+    rows += [(100 + i, f"{' ' * i}copied one\r\n{chr(10) * i}\tcopied two\n", "en", f"s{i}") for i in range(12)]
+    got = {r.doc_id: r for r in L.remove_boilerplate(documents(rows)).collect()}
+    assert all((got[i].n_boilerplate, got[i].n_removed, got[i].text) == (1, 1, f"own {i}") for i in range(12))
+    # copies that differ in blanks alone stay whole
+    assert all(got[r[0]].n_removed == 0 and got[r[0]].text == r[1] for r in rows[12:])
+
+
 def test_edges(edge, spark):
     got = L.remove_boilerplate(edge.withColumn("n_lines", F.lit("clash")))
     assert got.columns == [*edge.columns, "n_lines", "n_boilerplate", "n_removed"] and got.count() == edge.count()
