@@ -11,9 +11,6 @@ from ..errors import DataError
 from ..functions.columns import doubles
 from ..functions.kernels import kennard_stone, test_rows
 
-#: A maximin split is sequential; one group is computed by one task.
-MAX_GROUP = 20_000
-
 
 def kennard_stone_split(
     df: DataFrame,
@@ -22,20 +19,23 @@ def kennard_stone_split(
     group: str | None = None,
     key: str = "sample_id",
     spectrum: str = "spectrum",
-    max_group: int = MAX_GROUP,
+    max_group: int | None = None,
 ) -> DataFrame:
     """([group,] sample_id, partition, ord) of a Kennard-Stone split on the raw spectra.
 
     Euclidean distance, ties to the smaller id; ``ord`` is the order of selection
-    for train and of ids for test. Each group is split by itself, in parallel; one
-    with more than ``max_group`` rows is refused before any is computed.
+    for train and of ids for test. Each group is split by itself, in parallel. A
+    maximin split is sequential, so one task computes a group: its memory is linear
+    in the group's rows, its time grows with their square. Where ``max_group`` is
+    given, a group with more rows is refused before any is computed.
     """
     keyed = df.select(
         (F.col(group) if group else F.lit(0)).alias("_g"), F.col(key).alias("sample_id"), doubles(F.col(spectrum)).alias("x")
     )
-    largest = keyed.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
-    if largest > max_group:
-        raise DataError(f"a group of {largest} rows; a maximin split takes at most {max_group}")
+    if max_group is not None:
+        largest = keyed.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
+        if largest > max_group:
+            raise DataError(f"a group of {largest} rows; this split takes at most {max_group}")
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("sample_id", kind="stable")

@@ -144,8 +144,7 @@ def run(source: Any, df: DataFrame) -> Result:
     if plan.test_size is None:
         split, train, test = identity_split(df), ready, ready
     else:
-        split = kennard_stone_split(df, plan.test_size)
-        split = df.sparkSession.createDataFrame(split.collect(), split.schema)  # at most MAX_GROUP rows
+        split = kennard_stone_split(df, plan.test_size).persist()  # computed once, kept on the executors
         train, test = (ready.join(split.where(F.col("partition") == p).select("sample_id"), "sample_id") for p in ("train", "test"))
     models = pls.fit(train, max(plan.n_components))
     swept = [models[k - 1] for k in plan.n_components]

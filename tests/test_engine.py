@@ -105,6 +105,19 @@ def test_guards(spark, data):
         matrix.reshape_flat(spark.createDataFrame([([1.0, 2.0, 3.0],)], "flat array<double>"), 2).collect()
 
 
+def test_split_of_a_large_group(spark):
+    x = np.random.default_rng(0).normal(size=(20_001, 2))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "sample_id long, spectrum array<double>")
+    rows = split.kennard_stone_split(df, 0.999).collect()
+    assert sorted(r.sample_id for r in rows) == list(range(20_001))
+    order = [r.sample_id for r in sorted((r for r in rows if r.partition == "train"), key=lambda r: r.ord)]
+    near = ((x[:, None] - x[order[:2]]) ** 2).sum(-1).min(1)
+    assert len(order) == 20
+    for at in order[2:]:
+        assert at == near.argmax()
+        near = np.minimum(near, ((x - x[at]) ** 2).sum(1))
+
+
 def test_snv_rows(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 6.0],), ([5.0, 5.0],), ([],)], "x array<double>")
     rows = [r.s for r in df.select(C.snv(F.col("x")).alias("s")).collect()]
