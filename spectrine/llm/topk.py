@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 64
@@ -37,15 +37,19 @@ DENSE = 64
 def quantise(df: DataFrame, *, vector: str = "embedding", ident: str = "vec_id", scale: int = SCALE) -> DataFrame:
     """(id, v) with v = floor(scale * x) as longs.
 
-    Rows with a null id or vector, an empty vector, a null or non-finite component,
-    or one that leaves the range of 32 bits once scaled take no part.
+    Rows with a null id or vector or a null or non-finite component take no part. A
+    finite component that leaves the range of 64 bits once scaled is an error.
     """
-    x = F.transform(vector, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")))
-    fine = F.forall(
-        vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float(2**31)) / scale)
-    )
+
+    def scaled(c: Column) -> Column:
+        wide = F.lit(float(scale)) * c.cast("double")
+        fault = F.raise_error(F.lit("a component leaves the range of 64 bits")).cast("long")
+        return F.when(F.abs(wide) < F.lit(float(2**63)), F.floor(wide)).otherwise(fault)
+
+    x = F.transform(vector, scaled)
+    fine = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float("inf"))))
     return (
-        df.where(F.col(ident).isNotNull() & (F.size(vector) > 0))
+        df.where(F.col(ident).isNotNull() & F.col(vector).isNotNull())
         .where(fine)
         .select(F.col(ident).cast("long").alias("id"), x.cast("array<bigint>").alias("v"))
     )

@@ -37,6 +37,20 @@ def test_edges(spark):
     assert got == [(0, 1, 9, 3_000_000 * s), (0, 2, 1, 5 * s), (0, 3, 8, 0), (20, 1, 7, 3 * s)]
 
 
+def test_large_components_and_empty_vectors_take_part(spark):
+    rows = [(0, [2.0**26, 1.0]), (1, [1.0, 2.0**25]), (2, [-(2.0**24), 0.0]), (20, []), (21, [])]
+
+    def search(rows):
+        v = T.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        return sorted(tuple(r) for r in T.top_k(v.where("id % 20 = 0"), v).collect())
+
+    s = 64 * 64
+    assert search(rows) == [(0, 1, 1, (2**26 + 2**25) * s), (0, 2, 2, -(2**50) * s), (20, 1, 21, 0)]
+    for wide in ([2.0**40, 0.0], [1e300, 0.0]):
+        with pytest.raises(Exception, match="range of 64 bits"):
+            search([(0, wide), (1, wide)])
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(0)
     q, c = rng.integers(-99, 99, (40, 50)).astype(float), rng.integers(-99, 99, (60, 50)).astype(float)
