@@ -4,7 +4,9 @@ Finds test items inside documents of any length by the size-partitioned MinHash
 containment search of :mod:`.containment`, verified on exact shingle sets: an item
 has leaked into a document when at least 80 % of its distinct five-word shingles
 occur there. Words are lower-case runs of letters and digits, so punctuation, case
-and line breaks do not hide a leak. Items shorter than five words are one shingle.
+and line breaks do not hide a leak. Items shorter than five words are one shingle, their
+whole sequence: they match documents of exactly these words and are not found
+inside longer ones.
 """
 
 from __future__ import annotations

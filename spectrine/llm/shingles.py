@@ -23,8 +23,8 @@ def words(text: Column) -> Column:
 def shingle_hashes(text: Column, n: int = WORDS) -> Column:
     """64-bit hashes of the text's ``n``-word shingles, in order, repeats included.
 
-    Texts with 1 to ``n - 1`` words have one shingle, the whole sequence; texts
-    without words have none.
+    Texts with 1 to ``n - 1`` words have one shingle, the whole sequence, which no
+    longer text has; texts without words have none.
     """
 
     def hashes(w: Column) -> Column:
