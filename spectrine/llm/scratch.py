@@ -1,7 +1,8 @@
 """Intermediate tables in the folder that driver and executors share.
 
 The folder is the one the session names in ``spark.checkpoint.dir``. Only where
-that setting is absent (tests, a laptop) a temporary folder stands in for it.
+that setting is absent and the master is local (tests, a laptop) a temporary folder
+stands in for it; on a cluster without the setting operators refuse to run.
 A table written here survives the loss of any executor, and the plan that reads
 it starts from the files.
 """
@@ -22,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_SETTING} must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spectrine-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -40,6 +43,8 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Removes tables that no plan reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
