@@ -1,10 +1,15 @@
-"""Column expressions over spectra (ARRAY<DOUBLE>). All stay in the JVM and read a row once."""
+"""Column expressions over spectra (ARRAY<DOUBLE>).
+
+Row-wise filters are matrix products over Arrow batches, since Spark interprets nested
+array lambdas value by value; everything else stays in the JVM.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,20 +33,47 @@ def dot(x: Column, y: Column | Sequence[float]) -> Column:
     return total(F.zip_with(x, y, lambda a, b: a * b))
 
 
-def snv(x: Column) -> Column:
-    """(x - mean) / population deviation of the row; zeros for a constant row."""
+def _row_wise(kernel: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
+    """A column function that applies ``kernel`` to matrices whose rows are spectra of one length.
+
+    Arrow hands whole batches over, so a batch of equal lengths is one matrix and one call. A null
+    spectrum, and one that holds a null, gives null; an empty one stays empty.
+    """
+
+    @F.arrow_udf("array<double>")
+    def run(x: pa.Array) -> pa.Array:
+        starts = x.offsets.to_numpy()
+        values = x.values.to_numpy(zero_copy_only=False)
+        lengths = np.diff(starts)
+        good = x.is_valid().to_numpy(zero_copy_only=False)
+        if x.values.null_count:
+            gaps = np.r_[0, np.cumsum(x.values.is_null().to_numpy(zero_copy_only=False))]
+            good = good & (gaps[starts[1:]] == gaps[starts[:-1]])
+        out: list = [None] * len(x)
+        for width in np.unique(lengths[good]):
+            rows = np.nonzero(good & (lengths == width))[0]
+            block = values[starts[rows][:, None] + np.arange(width)] if width else np.zeros((len(rows), 0))
+            made = kernel(block) if width else block
+            if len(rows) == len(x):
+                ends = np.arange(len(x) + 1, dtype=np.int32) * made.shape[1]
+                return pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
+            for row, values_ in zip(rows, made, strict=True):
+                out[row] = values_
+        return pa.array(out, pa.list_(pa.float64()))
+
+    return lambda x: run(doubles(x))
+
+
+def _standardised(block: np.ndarray) -> np.ndarray:
+    centred = block - block.mean(1, keepdims=True)
+    deviation = np.sqrt((centred * centred).mean(1, keepdims=True))
+    flat = ~(deviation > 1e-12)
+    return np.where(flat, 0.0, centred / np.where(flat, 1.0, deviation))
 
-    def centred(v: Column) -> Column:
-        return let(total(v) / F.greatest(F.size(v), F.lit(1)), lambda m: F.transform(v, lambda a: a - m))
 
-    def scaled(c: Column) -> Column:
-        deviation = F.sqrt(total(F.transform(c, lambda a: a * a)) / F.greatest(F.size(c), F.lit(1)))
-        return let(
-            deviation,
-            lambda s: F.transform(c, lambda a: F.when(s > 1e-12, a / s).otherwise(F.lit(0.0))),
-        )
-
-    return let(let(doubles(x), centred), scaled)
+def snv(x: Column) -> Column:
+    """(x - mean) / population deviation of the row; zeros for a constant row."""
+    return _row_wise(_standardised)(x)
 
 
 def is_constant(x: Column) -> Column:
@@ -50,17 +82,16 @@ def is_constant(x: Column) -> Column:
 
 
 def linear(x: Column, matrix: np.ndarray, offset: np.ndarray | None = None) -> Column:
-    """O x + c. Each output touches only the columns where its row of O is not zero."""
-    rows = []
-    for i, row in enumerate(matrix):
-        used = np.nonzero(row)[0]
-        first, last = (int(used[0]), int(used[-1]) + 1) if len(used) else (0, 1)
-        shift = 0.0 if offset is None else float(offset[i])
-        rows.append((first, [float(v) for v in row[first:last]], shift))
-    table = F.array(
-        *[F.struct(F.lit(a + 1).alias("a"), F.lit(w).alias("w"), F.lit(c).alias("c")) for a, w, c in rows]
-    )
-    return let(doubles(x), lambda v: F.transform(table, lambda r: dot(F.slice(v, r["a"], F.size(r["w"])), r["w"]) + r["c"]))
+    """O x + c; a spectrum of another width than the matrix takes is an error."""
+    turned = np.ascontiguousarray(np.asarray(matrix, float).T)
+    shift = np.zeros(turned.shape[1]) if offset is None else np.asarray(offset, float)
+
+    def kernel(block: np.ndarray) -> np.ndarray:
+        if block.shape[1] != len(turned):
+            raise ValueError(f"{block.shape[1]} values; the filter takes {len(turned)}")
+        return block @ turned + shift
+
+    return _row_wise(kernel)(x)
 
 
 def all_finite(x: Column) -> Column:

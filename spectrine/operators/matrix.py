@@ -61,22 +61,32 @@ def assemble_long(
     return wide.select(*keys, F.array(*[f"_{i}" for i in range(len(headers))]).alias("spectrum"))
 
 
-def rectangular(df: DataFrame, *, spectrum: str = "spectrum") -> DataFrame:
-    """One row: n_rows, n_cols, n_null, is_rectangular (positive, of equal length, no null array)."""
+def _shape(spectrum: str) -> list[Column]:
     size = F.when(F.col(spectrum).isNotNull(), F.size(spectrum))
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.max(size).cast("long").alias("n_cols"),
         F.count_if(F.col(spectrum).isNull()).alias("n_null"),
         (F.coalesce(F.min(size) == F.max(size), F.lit(False)) & (F.coalesce(F.min(size), F.lit(0)) > 0) & (F.count_if(F.col(spectrum).isNull()) == 0)).alias("is_rectangular"),
-    )
+    ]
+
+
+def rectangular(df: DataFrame, *, spectrum: str = "spectrum") -> DataFrame:
+    """One row: n_rows, n_cols, n_null, is_rectangular (positive, of equal length, no null array)."""
+    return df.agg(*_shape(spectrum))
 
 
-def require_rectangular(df: DataFrame, *, spectrum: str = "spectrum") -> tuple[int, int]:
-    """(rows, columns), or :class:`DataError`."""
-    got = rectangular(df, spectrum=spectrum).first()
+def require_rectangular(df: DataFrame, *, spectrum: str = "spectrum", target: str | None = None) -> tuple[int, int]:
+    """(rows, columns), or :class:`DataError`; with ``target``, all values must be finite too. One pass."""
+    shape = rectangular(df, spectrum=spectrum)
+    if target:
+        odd = F.count_if(~(all_finite(F.col(spectrum)) & finite(F.col(target)))).alias("n_odd")
+        shape = df.select(spectrum, target).agg(*_shape(spectrum), odd)
+    got = shape.first()
     if not got.is_rectangular:
         raise DataError(f"spectra are not rectangular: {got.n_rows} rows, {got.n_null} null, up to {got.n_cols} values")
+    if target and got.n_odd:
+        raise DataError(f"{got.n_odd} rows hold a null or a value that is not finite")
     return got.n_rows, got.n_cols
 
 
@@ -94,24 +104,46 @@ def require_rows(df: DataFrame, at_least: int = 20) -> int:
     return n
 
 
+#: Values looked at for each bucket of positions.
+_SAMPLED = 20
+
+
+def _bucket(value: Column, bounds: list) -> Column:
+    """The number of ``bounds`` (ascending) below ``value``, by halving; nulls are in the first bucket."""
+
+    def search(first: int, end: int) -> Column:
+        if first == end:
+            return F.lit(first)
+        mid = (first + end) // 2
+        return F.when(value <= F.lit(bounds[mid]), search(first, mid)).otherwise(search(mid + 1, end))
+
+    return F.when(value.isNull(), 0).otherwise(search(0, len(bounds)))
+
+
 def with_position(df: DataFrame, *, order: str = "sample_id", name: str = "position", parts: int | None = None) -> DataFrame:
-    """0-based place of each row in the order of ``order``.
+    """0-based place of each row in the order of ``order``, nulls first; equal values in any order.
 
-    Rows are range-partitioned; each partition numbers its own and adds the counts
-    of those before, so no single task sees all rows.
+    Rows are dealt to buckets between fixed bounds, read off a bounded sample of the
+    values; each bucket numbers its own rows and adds the counts of those before, so
+    no single task sees all rows. The bounds are constants of the plan, so both
+    readings of ``df`` agree on them.
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(order)
-    numbered = ranged.withColumn("_at", F.row_number().over(within) - 1)
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    sample = df.where(F.col(order).isNotNull()).select(F.col(order).alias("v")).orderBy(F.xxhash64("v")).limit(_SAMPLED * parts)
+    values = [r.v for r in sample.distinct().orderBy("v").collect()]  # at most _SAMPLED * parts
+    bounds = [values[len(values) * k // parts] for k in range(1, parts)] if values else []
+    bucket = _bucket(F.col(order), sorted(set(bounds)))
+    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))  # one row per bucket
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_bucket").orderBy(order)
     return (
-        numbered.join(F.broadcast(starts), "_part")
+        df.withColumn("_bucket", bucket)
+        .withColumn("_at", F.row_number().over(within) - 1)
+        .join(F.broadcast(starts), "_bucket")
         .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
-        .drop("_part", "_at", "_start")
+        .drop("_bucket", "_at", "_start")
     )
 
 

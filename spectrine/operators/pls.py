@@ -34,7 +34,7 @@ def moments(df: DataFrame, width: int, *, spectrum: str = "spectrum", target: st
     pilot = cells.first()
     if pilot is None:
         raise DataError("no rows to fit")
-    shift = np.r_[np.asarray(pilot.x, float), float(pilot.y)]
+    shift = np.r_[np.asarray(pilot.x, float), np.nan if pilot.y is None else float(pilot.y)]
     size = width + 2
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,12 +68,17 @@ def models_from_moments(m: np.ndarray, k_max: int) -> list[PlsModel]:
     return [PlsModel(s.n_components, s.coefficients, s.x_mean + shift[:-1], s.y_mean + float(shift[-1])) for s in shifted]
 
 
-def fit(df: DataFrame, k_max: int, *, spectrum: str = "spectrum", target: str = "target") -> list[PlsModel]:
-    """Models with 1..k_max components."""
-    first = df.select(F.size(spectrum).alias("w")).first()
-    if first is None:
-        raise DataError("no rows to fit")
-    return models_from_moments(moments(df, first.w, spectrum=spectrum, target=target), k_max)
+def fit(df: DataFrame, k_max: int, *, spectrum: str = "spectrum", target: str = "target", width: int | None = None) -> list[PlsModel]:
+    """Models with 1..k_max components. Nulls and values that are not finite are an error."""
+    if width is None:
+        first = df.select(F.size(spectrum).alias("w")).first()
+        if first is None:
+            raise DataError("no rows to fit")
+        width = first.w
+    sums = moments(df, width, spectrum=spectrum, target=target)
+    if not np.isfinite(sums).all():
+        raise DataError("a spectrum or target is null or not finite")
+    return models_from_moments(sums, k_max)
 
 
 def predict(spectrum: Column, model: PlsModel) -> Column:

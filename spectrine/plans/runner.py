@@ -134,11 +134,12 @@ def run(source: Any, df: DataFrame) -> Result:
 
     ``df`` is (sample_id, spectrum, target). Transforms are row-wise, so the table is
     transformed as it is read and the split joined afterwards; without a splitter no
-    join is made at all.
+    join is made at all. Ragged spectra, nulls and values that are not finite are refused
+    before anything is fitted.
     """
     definition = load(source)
     plan = compile_plan(definition)
-    rows, width = require_rectangular(df)
+    rows, width = require_rectangular(df, target="target")
     df = df.select("sample_id", doubles(F.col("spectrum")).alias("spectrum"), F.col("target").cast("double").alias("target"))
     ready = df.withColumn("spectrum", transform_column(F.col("spectrum"), plan, width))
     if plan.test_size is None:
@@ -146,7 +147,7 @@ def run(source: Any, df: DataFrame) -> Result:
     else:
         split = kennard_stone_split(df, plan.test_size).persist()  # computed once, kept on the executors
         train, test = (ready.join(split.where(F.col("partition") == p).select("sample_id"), "sample_id") for p in ("train", "test"))
-    models = pls.fit(train, max(plan.n_components))
+    models = pls.fit(train, max(plan.n_components), width=width)
     swept = [models[k - 1] for k in plan.n_components]
     predictions = pls.predict_all(test, swept)
     variants = pls.rmse(predictions)

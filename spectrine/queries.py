@@ -520,7 +520,7 @@ def _archives(spark: SparkSession) -> str:
 
 @register("archive_members", "SELECT * FROM (VALUES ('flipped.zip', 'm.bin', 5::BIGINT), ('flipped.zip', 'p.json', 2), ('v1.zip', 'm.bin', 5), ('v1.zip', 'p.json', 2), ('v2.zip', 'm.bin', 5), ('v2.zip', 'p.json', 2)) AS t(archive, path, size)")
 def archive_members(spark, sf_dir):
-    return archive.archive_members(spark, _archives(spark)).where(F.col("path") != archive.MANIFEST).select("archive", "path", "size")
+    return archive.archive_members(spark, _archives(spark)).where(F.col("refusal_code").isNull() & (F.col("path") != archive.MANIFEST)).select("archive", "path", "size")
 
 
 @register("archive_refusals", "SELECT * FROM (VALUES ('flipped.zip', 'integrity'), ('v1.zip', 'unsupported_capability'), ('v2.zip', 'none')) AS t(archive, refusal_code)")

@@ -280,7 +280,11 @@ def read(data: bytes, *, execute: bool = False) -> Archive:
     by_path = {e.path: e for e in entries}
     head = by_path[MANIFEST]
     manifest = parse_manifest(data[head.start : head.end])
-    validate(manifest)
+    try:
+        validate(manifest)
+    except (AttributeError, KeyError, TypeError, ValueError, RecursionError) as error:
+        # a value of another type than its rule expects
+        raise ArchiveFormatError(f"a malformed manifest: {type(error).__name__} {error}") from error
     inventory = {r["path"]: r for r in manifest["member_inventory"]}
     _refuse(set(inventory) != set(by_path) - {MANIFEST}, "the inventory is not what the archive holds")
     members = {}
@@ -387,24 +391,33 @@ def write(path: str | Path, manifest: dict, members: dict[str, bytes]) -> None:
                 raise PublishedWithCleanupError(str(error)) from error
 
 
-_MEMBERS = "archive string, path string, size long, crc32 long, sha256 string, local_offset long, data_end long, content binary"
+_MEMBERS = (
+    "archive string, path string, size long, crc32 long, sha256 string, local_offset long, data_end long, content binary, refusal_code string"
+)
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """One row per member of every archive under ``path`` that passes the container checks."""
+    """One row per member of every archive under ``path`` that passes the container checks.
+
+    An archive that does not has one row, with null member columns and its ``refusal_code``.
+    """
+    names = [x.split()[0] for x in _MEMBERS.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     entries = preflight(data)
-                except ArchiveError:
+                except ArchiveError as error:
+                    yield pd.DataFrame([[name.rsplit("/", 1)[-1], *[None] * 7, error.code]], columns=names).astype(
+                        {"size": "Int64", "crc32": "Int64", "local_offset": "Int64", "data_end": "Int64"}
+                    )
                     continue
                 for e in entries:
                     body = data[e.start : e.end]
                     yield pd.DataFrame(
-                        [[name.rsplit("/", 1)[-1], e.path, e.size, e.crc32, hashlib.sha256(body).hexdigest(), e.offset, e.end, body]],
-                        columns=[x.split()[0] for x in _MEMBERS.split(", ")],
+                        [[name.rsplit("/", 1)[-1], e.path, e.size, e.crc32, hashlib.sha256(body).hexdigest(), e.offset, e.end, body, None]],
+                        columns=names,
                     )
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _MEMBERS)

@@ -1,10 +1,14 @@
+import io
 import json
 import struct
 import zipfile
+from copy import deepcopy
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from spectrine.errors import ArchiveExists, ArchiveFormatError, ArchiveIntegrityError, ArchiveUnsupported
+from spectrine.errors import ArchiveError, ArchiveExists, ArchiveFormatError, ArchiveIntegrityError, ArchiveUnsupported
 from spectrine.sources import archive as A
 
 MEMBERS = {"models/a.bin": b"model", "package.json": b"{}"}
@@ -138,4 +142,41 @@ def test_tables_of_archives(spark, tmp_path):
     assert report == {"good.zip": None, "bad.zip": "format"}
     members = A.archive_members(spark, str(tmp_path)).collect()
     assert {(m.path, m.size) for m in members} >= {("models/a.bin", 5), ("package.json", 2)}
+    assert [(m.archive, m.path, m.refusal_code) for m in members if m.refusal_code] == [("bad.zip", None, "format")]
     assert struct.calcsize("<Q") == 8
+
+
+def raw(manifest, members=MEMBERS):
+    """An archive with the manifest as it stands."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, content in [(A.MANIFEST, json.dumps(manifest)), *members.items()]:
+            info = zipfile.ZipInfo(name)
+            info.external_attr = 0o100644 << 16
+            z.writestr(info, content)
+    return out.getvalue()
+
+
+ODD = st.sampled_from([None, True, 0, -1, 1.5, "", "x", [], [1], {}, {"a": [None]}, [[{}]]])
+
+
+def spots(value, at=()):
+    """The ways to every value inside a document."""
+    inner = value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ()
+    return [at] * bool(at) + [s for k, v in inner for s in spots(v, (*at, k))]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_mutated_manifests_are_judged_not_crashed_on(data):
+    manifest = json.loads(json.dumps(A.derive(A.template("run:1", REFS, data.draw(st.sampled_from([1, 2]))), MEMBERS)))
+    for _ in range(data.draw(st.integers(1, 3))):
+        way = data.draw(st.sampled_from(spots(manifest)))
+        inner = manifest
+        for step in way[:-1]:
+            inner = inner[step]
+        inner[way[-1]] = deepcopy(data.draw(ODD))
+    try:
+        A.read(raw(manifest))
+    except ArchiveError:
+        pass

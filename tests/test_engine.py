@@ -8,6 +8,7 @@ import __spark_entry__
 from spectrine import catalog, queries
 from spectrine.errors import DataError, SessionClosed, UnsupportedCapability
 from spectrine.functions import columns as C
+from spectrine.functions.kernels import savgol_matrix
 from spectrine.operators import audit, matrix, pls, split
 from spectrine.plans.runner import Model, Session, evaluate, run, stable_hash
 from spectrine.sources import datasets
@@ -133,6 +134,43 @@ def test_positions_span_partitions(spark):
     assert [r.position for r in got] == list(range(len(got)))
 
 
+def test_positions_of_many_rows_written_out(spark, tmp_path):
+    n = 300_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("sample_id"), F.xxhash64("id").alias("x"), F.col("id").cast("string").alias("y"))
+    matrix.with_position(df.repartition(9), parts=8).write.parquet(str(tmp_path / "p"))
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == n and back.where("position <> sample_id").isEmpty()
+    places = [r.sample_id for r in matrix.even_sample(df, 60).orderBy("sample_id").collect()]
+    assert places == C.even_places(n, 60)
+
+
+def test_positions_with_nulls_and_ties(spark):
+    rows = [(None, 1), (None, 2)] + [("a", i) for i in range(50)] + [(f"b{i:03d}", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(6)
+    got = sorted((r.position, r.k or "") for r in matrix.with_position(df, order="k", parts=5).collect())
+    assert [p for p, _ in got] == list(range(92)) and [k for _, k in got] == sorted(r[0] or "" for r in rows)
+    assert matrix.with_position(df.limit(0), order="k").count() == 0
+
+
+def test_filters_keep_odd_rows_apart(spark):
+    wide = [float(v % 17) for v in range(9)]
+    df = spark.createDataFrame([(1, wide), (2, None), (3, [1.0, None, 2.0] * 3), (4, wide)], "i int, x array<double>").coalesce(1)
+    m, c = savgol_matrix(9, 5, 2)
+    got = {r.i: r.s for r in df.select("i", C.linear(C.snv(F.col("x")), m, c).alias("s")).collect()}
+    z = (np.array(wide) - np.mean(wide)) / np.std(wide)
+    assert got[1] == pytest.approx(m @ z + c) and got[4] == got[1] and got[2] is None and got[3] is None
+    with pytest.raises(Exception, match="8 values; the filter takes 9"):
+        df.where("i = 1").select(C.linear(F.slice("x", 1, 8), m, c)).collect()
+
+
+def test_run_refuses_values_that_are_not_finite(spark, data):
+    for bad in ("null", "double('nan')", "double('inf')"):
+        with pytest.raises(DataError, match="finite"):
+            run(queries.DEFINITIONS["snv_pls"], data.withColumn("target", F.expr(f"if(sample_id = 3, {bad}, target)")))
+    with pytest.raises(DataError):
+        pls.fit(data.withColumn("target", F.expr("if(sample_id = 3, null, target)")), 2)
+
+
 def test_large_means_do_not_cancel(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(60, 3)) + 1e7
