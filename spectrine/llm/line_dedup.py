@@ -1,10 +1,15 @@
 """Cross-site boilerplate lines.
 
-A line is boilerplate when it stands on at least ``min_sites`` distinct sites.
-Pass 1 keeps one HyperLogLog sketch of sites per line hash; sketches merge in the
-map-side and final aggregation, so a line that a third of all documents share
-costs one sketch per task. Pass 2 counts exactly, and only for lines whose
-estimate lies within ``near`` of the threshold.
+A line is boilerplate when it stands on at least ``min_sites`` distinct sites, and it is
+cut when it also stands in as many distinct pages (sequences of non-blank lines, outer
+blanks aside). So copies of a page, on however many sites, do not make its own lines
+boilerplate to be cut: they are left for near-duplicate removal to judge.
+
+Texts are split once, into keys of 128 bits a line. One aggregation counts lines; those
+seen too rarely go. For the others two HyperLogLog sketches a line hash, of sites and of
+pages, merge in the map-side and final aggregation, so a line that a third of all
+documents share costs two sketches per task. Lines whose estimate lies within ``near`` of
+the threshold are then counted exactly.
 
 Everything here is DataFrame expressions.
 """
@@ -16,11 +21,11 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 from .shingles import let
+from .skew import fresh, weighted_lookup
 
 MIN_SITES = 10
 NEAR = 0.25
 LG_K = 12
-MAX_REMOVED_SHARE = 0.5
 
 
 def bare_line(line: Column) -> Column:
@@ -37,17 +42,47 @@ def line_key(line: Column) -> Column:
     )
 
 
-def sequence_key(lines: Column) -> Column:
-    """128 bits of the non-blank lines in order, without their outer blanks."""
+def lines_of(docs: DataFrame, text: str = "text") -> Column:
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
-    def keyed(bare: Column) -> Column:
-        return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(bare, F.lit(1)).alias("b"))
 
-    return let(F.array_remove(F.transform(lines, bare_line), ""), keyed)
+def _keyed(docs: DataFrame, site: str, text: str) -> DataFrame:
+    """(site, page, t, keys): a row's site, its page's and text's hash and its lines' keys, null for blank lines."""
+    keys = F.transform(lines_of(docs, text), line_key)
+    rows = docs.select(F.col(site).cast("string").alias("site"), _text_key(text).alias("t"), keys.alias("keys"))
+    return rows.withColumn("page", F.xxhash64(F.filter("keys", lambda k: k.isNotNull()), F.lit(2)))
 
 
-def lines_of(docs: DataFrame, text: str = "text") -> Column:
-    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+def _text_key(text: str) -> Column:
+    """128 bits of a text, null for a null text."""
+    return F.when(F.col(text).isNotNull(), F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b")))
+
+
+def _marks(keyed: DataFrame, scratch: Scratch, min_sites: int, near: float, lg_k: int) -> DataFrame:
+    """(k, cut, weight) of the boilerplate lines: whether they are cut, and how often they are seen on any site."""
+    low, high = (1 - near) * min_sites, (1 + near) * min_sites
+    every = keyed.select("site", "page", F.explode("keys").alias("k")).where("k is not null")
+    lines = every.where("site is not null")
+    often = lines.groupBy("k").agg(F.count(F.lit(1)).alias("weight")).where(F.col("weight") >= int(low))
+    often = scratch.save(often, "often")
+    spread = F.xxhash64("site", "page")
+    seen = scratch.save(weighted_lookup(lines, often, ["k"], "weight", spread=spread), "seen")
+
+    def sketch(column: str) -> Column:
+        return F.hll_sketch_estimate(F.hll_sketch_agg(column, F.lit(lg_k))).alias(column + "s")
+
+    spread = seen.groupBy("k").agg(sketch("site"), sketch("page"), F.count(F.lit(1)).alias("weight")).where(F.col("sites") >= low)
+    spread = scratch.save(spread, "spread")
+    close = (F.col("sites") < high) | ((F.col("pages") >= low) & (F.col("pages") < high))
+    sure = spread.where(~close).select("k", (F.col("pages") >= high).alias("cut"))
+    exact = (
+        weighted_lookup(seen, scratch.save(spread.where(close).select("k", "weight"), "close"), ["k"], "weight")
+        .groupBy("k")
+        .agg(F.count_distinct("site").alias("sites"), F.count_distinct("page").alias("pages"))
+        .where(F.col("sites") >= min_sites)
+        .select("k", (F.col("pages") >= min_sites).alias("cut"))
+    )
+    return scratch.save(sure.unionByName(exact).join(spread.select("k", "weight"), "k"), "marks")
 
 
 def boilerplate_lines(
@@ -59,36 +94,15 @@ def boilerplate_lines(
     near: float = NEAR,
     lg_k: int = LG_K,
 ) -> DataFrame:
-    """Keys ``k`` of the lines that stand on ``min_sites`` sites or more.
+    """(k, cut): keys of the lines that stand on ``min_sites`` sites or more, and whether on as many pages.
 
     Null sites count as no site, blank lines as no line. An estimate at or beyond
     ``(1 + near) * min_sites`` is accepted, one below ``(1 - near) * min_sites``
     refused (at ``lg_k`` = 12 the standard error is 1.6 %, so ``near`` = 0.25 is
     15 of them), and everything between is counted exactly.
     """
-    lines = docs.where(F.col(site).isNotNull()).select(
-        F.col(site).cast("string").alias("site"), F.explode(lines_of(docs, text)).alias("line")
-    )
-    lines = lines.select(line_key(F.col("line")).alias("k"), "site").where("k is not null")
-    spread = (
-        lines.groupBy("k")
-        .agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("seen"))
-        .where(F.col("seen") >= F.lit(int(min_sites * (1 - near))))
-        .select("k", F.hll_sketch_estimate("sketch").alias("sites"))
-        .where(F.col("sites") >= (1 - near) * min_sites)
-    )
-    spread = Scratch(docs.sparkSession, "line_spread").save(spread, "spread")
-    sure = spread.where(F.col("sites") >= (1 + near) * min_sites).select("k")
-    close = spread.where(F.col("sites") < (1 + near) * min_sites).select("k")
-    exact = (
-        lines.join(close, "k", "left_semi")
-        .distinct()
-        .groupBy("k")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_sites)
-        .select("k")
-    )
-    return sure.unionByName(exact)
+    scratch = Scratch(docs.sparkSession, "line_spread")
+    return _marks(scratch.save(_keyed(docs, site, text), "keyed"), scratch, min_sites, near, lg_k).select("k", "cut")
 
 
 def remove_boilerplate(
@@ -99,71 +113,51 @@ def remove_boilerplate(
     min_sites: int = MIN_SITES,
     near: float = NEAR,
     lg_k: int = LG_K,
-    max_removed_share: float = MAX_REMOVED_SHARE,
 ) -> DataFrame:
     """Every row and column of ``docs``, with boilerplate lines cut out of ``text``.
 
     Adds ``n_lines`` (lines of the text, blank ones too), ``n_boilerplate`` (lines
-    that are boilerplate) and ``n_removed`` (lines cut). A document is a copy of
-    another page when its boilerplate holds more than ``max_removed_share`` of its
-    non-blank characters and another row has the same non-blank lines in the same
-    order, outer blanks aside: it stays as it is, for near-duplicate removal to
-    judge, and ``n_removed`` is 0. All other pages are cut, whatever the
-    boilerplate's share; so are copies with edited lines. Lines that stay keep
-    their order and bytes.
+    that stand on ``min_sites`` sites or more) and ``n_removed`` (those of them that stand in
+    as many distinct pages and are cut). A page whose copies alone stand on many sites thus
+    stays as it is. Lines that stay keep their order and bytes; a page of nothing but cut lines
+    becomes empty.
 
     Null text: null, with ``n_lines`` 0. Empty text: empty, one blank line. Null
     site: the row's lines do not count towards a spread but are cut like others.
     Repeated rows and repeated or null ids are treated row by row. Columns of the
-    three added names are replaced. An empty table gives an empty table.
+    three added names are replaced; others, of whatever name, pass through. An empty table
+    gives an empty table.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "line_dedup")
-    marks = scratch.save(
-        boilerplate_lines(docs, site=site, text=text, min_sites=min_sites, near=near, lg_k=lg_k), "lines"
-    )
+    scratch = Scratch(docs.sparkSession, "line_dedup")
+    keyed = scratch.save(_keyed(docs, site, text), "keyed")
+    marks = _marks(keyed, scratch, min_sites, near, lg_k)
     added = ("n_lines", "n_boilerplate", "n_removed")
     kept = [c for c in docs.columns if c not in added]
-    rows = docs.select(*[F.col(c) for c in kept])
-    # One key per distinct text: identical texts have identical boilerplate positions,
-    # each counted once a row.
-    key = F.struct(F.xxhash64(F.col(text)).alias("a"), F.xxhash64(F.col(text), F.lit(1)).alias("b"))
-    found = (
-        docs.select(key.alias("_row"), lines_of(docs, text).alias("_lines"))
-        .select("_row", sequence_key(F.col("_lines")).alias("_seq"), "_lines")
-        .select("_row", "_seq", F.posexplode("_lines").alias("_pos", "line"))
-        .select("_row", "_seq", "_pos", line_key(F.col("line")).alias("k"))
-        .join(marks, "k", "left_semi")
-        .groupBy("_row")
-        .agg(F.first("_seq").alias("_seq"), F.collect_set("_pos").alias("_cut"), F.count(F.lit(1)).alias("_seen"))
-        .select("_row", "_seq", "_cut", (F.col("_seen") / F.size("_cut")).cast("long").alias("_pages"))
+    # Equal texts have the same lines to cut, so one row a text is joined to all rows that have it.
+    places = keyed.where("t is not null").select("t", F.posexplode("keys").alias("at", "k")).where("k is not null")
+    found = weighted_lookup(places, marks, ["k"], "weight", spread=F.xxhash64("t", "at"))
+    found = found.groupBy("t").agg(
+        F.collect_set(F.when(F.col("cut"), F.col("at"))).alias("cuts"), F.count_distinct("at").alias("marked"), F.count(F.lit(1)).alias("seen")
+    )
+    found = scratch.save(found.select("t", "cuts", "marked", F.expr("cast(seen / marked as long)").alias("weight")), "found")
+    names = {c: fresh(c, docs.columns) for c in ("t", "cuts", "marked")}
+    found = found.withColumnsRenamed(names)
+    rows = docs.select(*kept).withColumn(names["t"], _text_key(text))
+    joined = weighted_lookup(rows, found, [names["t"]], "weight", how="left", spread=F.xxhash64(*[F.col(c) for c in kept]))
+    cuts, whole = F.col(names["cuts"]), F.col(text)
+    n_lines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
+
+    def cut(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cuts)
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    removed = F.when(cuts.isNull(), 0).otherwise(F.size(cuts))
+    return joined.select(
+        *[F.col(c) if c != text else F.when(removed > 0, let(F.split(whole, "\n", -1), cut)).otherwise(whole).alias(text) for c in kept],
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.col(names["marked"]), F.lit(0)).cast("long").alias("n_boilerplate"),
+        removed.cast("long").alias("n_removed"),
     )
-    # Rows with equal lines are all in ``found`` or none is, so every other row counts.
-    found = scratch.save(found, "found")
-    repeated = found.groupBy("_seq").agg(F.sum("_pages").alias("n")).where("n > 1").select("_seq", F.lit(True).alias("_repeated"))
-    found = found.join(repeated, "_seq", "left").select("_row", "_cut", "_repeated")
-
-    def bare_chars(lines: Column) -> Column:
-        return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(bare_line(x)))
-
-    def at(lines: Column, where: Column) -> Column:
-        return F.transform(where, lambda i: F.get(lines, i))
-
-    def judged(lines: Column) -> Column:
-        cut = F.coalesce(F.col("_cut"), F.array().cast("array<int>"))
-        heavy = bare_chars(at(lines, cut)) > F.lit(max_removed_share) * bare_chars(lines)
-        copied = F.coalesce(F.col("_repeated"), F.lit(False)) & heavy
-        removed = F.when(F.size(cut) == 0, F.lit(0)).when(copied, F.lit(0)).otherwise(F.size(cut))
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
-        return F.struct(
-            F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-            F.size(cut).cast("long").alias("n_boilerplate"),
-            removed.cast("long").alias("n_removed"),
-            F.when(removed == 0, F.col(text)).otherwise(F.array_join(at(lines, stay), "\n")).alias("cleaned"),
-        )
-
-    out = rows.withColumn("_row", key).join(found, "_row", "left").withColumn("_out", let(lines_of(rows, text), judged))
-    return out.withColumn(text, F.col("_out.cleaned")).select(*kept, *[f"_out.{c}" for c in added])
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -185,19 +179,20 @@ WITH lines AS (
   FROM documents d, unnest(range(1, len(string_split(coalesce(d.text, ''), chr(10))) + 1)) AS u(i)
 ), bare AS (
   SELECT *, trim(replace(replace(line, chr(9), ' '), chr(13), ' '), ' ') AS b FROM lines
+), pages AS (
+  SELECT doc_id, md5(string_agg(b, chr(10) ORDER BY pos)) AS page FROM bare WHERE b <> '' GROUP BY doc_id
 ), marks AS (
-  SELECT b FROM bare WHERE b <> '' AND source IS NOT NULL GROUP BY b HAVING count(DISTINCT source) >= {MIN_SITES}
+  SELECT b, count(DISTINCT page) >= {MIN_SITES} AS cut FROM bare JOIN pages USING (doc_id)
+  WHERE b <> '' AND source IS NOT NULL GROUP BY b HAVING count(DISTINCT source) >= {MIN_SITES}
 ), judged AS (
-  SELECT x.*, (m.b IS NOT NULL) AS bad FROM bare x LEFT JOIN marks m ON x.b = m.b
+  SELECT x.*, (m.b IS NOT NULL) AS bad, coalesce(m.cut, false) AS cut FROM bare x LEFT JOIN marks m ON x.b = m.b
 ), per AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE bad) AS n_boilerplate,
-         coalesce(sum(length(b)) FILTER (WHERE bad), 0) > {MAX_REMOVED_SHARE} * sum(length(b)) AS copied,
-         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT bad), '') AS cleaned
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE bad) AS n_boilerplate, count(*) FILTER (WHERE cut) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '') AS cleaned
   FROM judged GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(CASE WHEN d.text IS NULL THEN 0 ELSE p.n_lines END AS BIGINT) AS n_lines,
-       CAST(p.n_boilerplate AS BIGINT) AS n_boilerplate,
-       CAST(CASE WHEN p.copied THEN 0 ELSE p.n_boilerplate END AS BIGINT) AS n_removed,
-       CASE WHEN d.text IS NULL OR p.copied OR p.n_boilerplate = 0 THEN d.text ELSE p.cleaned END AS text
+       CAST(p.n_boilerplate AS BIGINT) AS n_boilerplate, CAST(p.n_removed AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NULL OR p.n_removed = 0 THEN d.text ELSE p.cleaned END AS text
 FROM documents d JOIN per p ON d.doc_id = p.doc_id
 """
