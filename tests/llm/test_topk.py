@@ -61,3 +61,23 @@ def test_bounds_hold():
         if before is not None:
             assert bound.mean() <= before
         before = bound.mean()
+
+
+def test_repeated_candidates_each_count(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [3.0]), (1, [2.5])]
+    v = T.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = [tuple(r) for r in T.top_k(v.where("id % 20 = 0"), v, k=4).orderBy("rank").collect()]
+    assert got == [(0, 1, 2, 3 * 64 * 64), (0, 2, 1, 160 * 64), (0, 3, 1, 2 * 64 * 64), (0, 4, 1, 2 * 64 * 64)]
+
+
+def test_bounds_prune_vectors_with_structure(spark, monkeypatch):
+    monkeypatch.setattr(T, "SAMPLE", 256)
+    rng = np.random.default_rng(3)
+    data = (rng.normal(size=(3000, 6)) * [9, 6, 4, 2, 1, 0.5]) @ rng.normal(size=(6, 64)) + rng.normal(scale=0.05, size=(3000, 64))
+    v = T.quantise(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, embedding array<double>")).cache()
+    queries = v.where("id % 50 = 0")
+    left = {r.segments: r.survivors / r.pairs for r in T.pruning(queries, v, k=5).collect()}
+    assert 1 >= left[1] >= left[4] >= left[16] >= left[32] and left[0] < 0.2
+    got = sorted(tuple(r) for r in T.top_k(queries, v, k=5).collect())
+    rows = [(i, np.floor(64 * x).astype(np.int64)) for i, x in enumerate(data)]
+    assert got == brute(rows, lambda i: i % 50 == 0, 5)
