@@ -11,13 +11,13 @@ the second part turns negative its gradient is reversed, which keeps g from fitt
 U as negative outright. g is a network with one hidden layer over figures of the
 whole text's form (letters, symbols, case, repetition, word and line lengths).
 
-The class prior pi is the share of 1 among the labels in reach. Where only
-positives are labelled it is estimated from P and U alone: a logistic regression of
+The class prior pi is estimated from P and U alone: a logistic regression of
 P against U gives the density ratio p(x | 1) / p(x), which is 1 / pi wherever texts
-are certainly positive, so pi is the inverse of its median over P.
+are certainly positive, so pi is the inverse of its median over P. Negative labels are
+not used.
 
-Scoring covers every row. Only the fit takes a sample: at most about ``MAX_FIT``
-texts each of P and U, chosen by a hash of the id.
+Scoring covers every row. Only the fit takes a sample: about ``MAX_FIT`` texts each
+of P and of U at most, chosen by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -174,25 +174,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sample(df: DataFrame, at_most: int) -> np.ndarray:
-    """Features of about ``at_most`` rows of (doc_id, text), chosen by a hash of the id."""
+    """Features of about ``at_most`` different rows of (doc_id, text), chosen by a hash; repeated rows count once."""
     bound_batches(df.sparkSession)
     n = df.select(F.count(F.lit(1))).first()[0]
+    df = df.withColumn("h", F.xxhash64("doc_id", "text", F.lit(3)))
     if n > at_most:
-        df = df.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * at_most / n))
+        df = df.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * at_most / n))
 
     @F.pandas_udf("array<float>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([features(x) for x in texts], dtype=object)
 
-    got = df.select(of("text").alias("x")).limit(2 * at_most).toPandas()
+    got = df.select("h", of("text").alias("x")).dropDuplicates(["h"]).select("x").toPandas()
     return np.stack(got["x"].to_numpy()) if len(got) else np.zeros((0, N_FEATURES), np.float32)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit: int = MAX_FIT) -> Model:
-    """Fit on the labels of rows that are not held out and on unlabelled texts of the same rows.
+    """Fit on texts labelled 1 and on texts without regard to labels, of rows that are not held out.
 
     Labels other than 0 and 1 and rows without id or text are left out; an id
-    labelled both ways counts as 0. Without any usable positive the model is the
+    labelled both ways is no positive. Without any usable positive the model is the
     prior alone and scores every text alike.
     """
     known = (
@@ -202,13 +203,12 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit
         .agg(F.min("y").alias("y"))
     )
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    n, ones = known.select(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    p = _sample(texts.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi"), max_fit) if ones else []
-    u = _sample(texts, max_fit) if ones else []
+    p = _sample(texts.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi"), max_fit)
+    u = _sample(texts, max_fit) if len(p) else []
     if not len(p) or not len(u):
         flat = np.zeros(N_FEATURES)
         return Model(flat, flat + 1, np.zeros((N_FEATURES, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0, 0.5)
-    return fit(p, u, ones / n if ones < n else None)
+    return fit(p, u)
 
 
 def score(text: Column, model: Model) -> Column:
