@@ -194,13 +194,17 @@ def _as_maps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def parse(data: bytes) -> Iterator[dict]:
-    """The records of a WARC file's bytes, gzipped by member or plain; a damaged tail ends the file."""
+    """The records of a WARC file's bytes, gzipped by member or plain; a damaged tail ends the file.
+
+    Records without a usable length are passed over. Of the lines of a header that cannot be read
+    as text the readable part counts.
+    """
     stream = io.BytesIO(data)
     if data[:2] == b"\x1f\x8b":
         try:
             stream = io.BytesIO(gzip.decompress(data))
         except (EOFError, zlib.error, gzip.BadGzipFile):
-            unpack, out = zlib.decompressobj(31), b""
+            unpack, out = zlib.decompressobj(31), bytearray()
             while data:
                 try:
                     out += unpack.decompress(data)
@@ -214,7 +218,10 @@ def parse(data: bytes) -> Iterator[dict]:
         if not line.startswith(b"WARC/"):
             continue
         head = dict(_fields(stream))
-        block = stream.read(int(head.get("content-length", "0")))
+        length = head.get("content-length", "0")
+        if not re.fullmatch(r"[0-9]{1,18}", length):
+            continue  # a record of unknown length: go on at the next one that begins a line
+        block = stream.read(int(length))
         status, headers, body = None, {}, block
         if m := re.match(rb"HTTP/\S+ (\d+)[^\n]*\n", block):
             rest = io.BytesIO(block[m.end() :])

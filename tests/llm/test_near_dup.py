@@ -88,3 +88,56 @@ def test_components(spark):
         for a, b in edges:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == {k: v for k, v in parent.items() if k != v}
+
+
+def test_repeated_ids_are_judged_by_their_own_text(documents, words):
+    rng = random.Random(11)
+    base, other = words(rng, 60), words(rng, 60)
+    rows = [(3, base), (7, base + " tail"), (7, other), (7, other), (9, other + " end"), (5, words(rng, 40)), (5, words(rng, 40)), (6, ""), (6, "")]
+    df = documents(rows)
+    got = sorted(tuple(r) for r in N.near_duplicates(df).collect())
+    assert got == brute(rows, 5)
+    kept = sorted((r.doc_id, r.text) for r in N.drop_near_duplicates(df).collect())
+    assert kept == sorted([rows[0], (7, other), rows[5], rows[6], (6, ""), (6, "")])
+
+
+def test_near_copies_under_one_id_leave_one_row(documents, words):
+    text = words(random.Random(2), 80)
+    df = documents([(4, text), (4, text + " x"), (4, text.upper()), (8, text)])
+    out = N.drop_near_duplicates(df.withColumn("component", F.lit(1)).withColumn("row_id", F.lit(2)).withColumn("part", F.lit(3)))
+    assert [(r.doc_id, r.component, r.row_id, r.part) for r in out.collect()] == [(4, 1, 2, 3)]
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(1)
+    for n in (1, 30, 500, 5000):
+        a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.int64).view(np.uint64)) for _ in range(2))
+        b = np.unique(np.r_[a[: int(0.9 * n)], b[: n // 5]])
+        differ = sum(int(x).bit_count() for x in (N.parity(a) ^ N.parity(b)).view(np.uint64))
+        true = len(np.setxor1d(a, b))
+        assert differ <= true and (n > 500 or differ >= 0.8 * true)
+
+
+def test_a_group_of_perturbed_copies(spark, documents, words, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 7)
+    rng = random.Random(4)
+    base = words(rng, 90).split()
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(7)):
+            own[rng.randrange(len(own))] = f"e{rng.random()}"
+        rows.append((rng.randrange(10**6), " ".join(own)))
+    assert sorted(tuple(r) for r in N.near_duplicates(documents(rows), words=4).collect()) == brute(rows, 4)
+
+
+def test_skewed_lookup(spark, monkeypatch):
+    from spectrine.llm import skew
+
+    monkeypatch.setattr(skew, "MOST", 4)
+    left = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(1)).otherwise(F.col("id") % 7).alias("k"), "id", F.lit("x").alias("part"))
+    right = left.groupBy("k").agg(F.count("*").alias("w")).where("k <> 3").withColumn("v", F.col("k") * 10)
+    for how in ("inner", "left"):
+        got = sorted((r.k, r.id, r.v, r.part) for r in skew.weighted_lookup(left, right, ["k"], "w", how=how, least=100).collect())
+        want = sorted((r.k, r.id, r.v, r.part) for r in left.join(right.drop("w"), "k", how).collect())
+        assert [str(x) for x in got] == [str(x) for x in want]

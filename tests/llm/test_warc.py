@@ -68,3 +68,10 @@ def test_files_round_trip(spark, records, tmp_path):
     assert by["v1"].body is None
     assert W.read_warc(spark, str(tmp_path / "b.warc")).count() == len(rows)
     assert W.read_warc(spark, str(tmp_path / "c.warc.gz")).count() in (len(rows) - 1, len(rows))
+
+
+def test_records_of_unknown_length_are_passed_over():
+    good = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    for bad in (b"-1", b"x", b"", b"9" * 40):
+        odd = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: " + bad + b"\r\n\r\nlost\r\n\r\n"
+        assert [r["body"] for r in W.parse(odd + good)] == [b"hello"]
