@@ -22,7 +22,7 @@ shingle, its own minimum under every hash, and an item enters with each of its
 (at most 8) shingles, so nothing is missed.
 
 Everything here is DataFrame expressions. The item bands are broadcast only when
-their counted rows are at most ``BROADCAST_ROWS``; beyond that Spark shuffles.
+their counted bytes are at most ``BROADCAST_BYTES``; beyond that Spark shuffles.
 """
 
 from __future__ import annotations
@@ -36,12 +36,13 @@ from .shingles import WORDS, shingle_hashes
 THRESHOLD = 0.8
 HASHES = 16
 TINY = 8
-BROADCAST_ROWS = 500_000
+#: Bytes of shingles and bands that are broadcast.
+BROADCAST_BYTES = 32_000_000
 
 
 def row_key(ident: str, text: str) -> Column:
-    """Names a row by id and text, so null and repeated ids do not mix."""
-    return F.xxhash64(F.col(ident), F.col(text), F.lit(7))
+    """Names a row by 128 bits of id and text, so null and repeated ids do not mix."""
+    return F.struct(*[F.xxhash64(F.col(ident), F.col(text), F.lit(seed)).alias(part) for part, seed in (("a", 7), ("b", 8))])
 
 
 def _class_of(q: Column) -> Column:
@@ -129,12 +130,14 @@ def contained_items(
     """
     scratch = Scratch(docs.sparkSession, "containment")
     items = scratch.save(prepare_items(items, ident=item_id, text=item_text, words=words), "items")
-    sizes = {r.k: r.n for r in items.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 13 rows
+    counted = items.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("shingles")).collect()  # at most 13 rows
+    sizes = {r.k: r.n for r in counted}
     if not sizes:
         nothing = F.lit(None).cast("int")
-        return items.select(F.lit(0).cast("long").alias("doc"), "item", nothing.alias("shared"), nothing.alias("item_shingles")).where("false")
+        return items.select(F.lit(None).cast("struct<a:bigint,b:bigint>").alias("doc"), "item", nothing.alias("shared"), nothing.alias("item_shingles")).where("false")
     bands = _item_bands(items)
-    small = sum(n * max(HASHES, TINY) for n in sizes.values()) <= BROADCAST_ROWS
+    # a shingle has 8 bytes, a band about 40
+    small = sum(8 * r.shingles + 40 * r.n * max(HASHES, TINY) for r in counted) <= BROADCAST_BYTES
     bounded = F.broadcast if small else lambda df: df
     found = []
     if 0 in sizes:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .containment import THRESHOLD, contained_items, row_key
 from .shingles import WORDS
+from .skew import fresh
 
 
 def leaks(
@@ -54,8 +55,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     names = {k: options.get(k, v) for k, v in (("doc_id", "doc_id"), ("text", "text"))}
     searched = {"doc_text" if k == "text" else k: v for k, v in options.items()}
     hits = contained_items(docs, benchmark, **searched).select("doc").distinct()
-    key = row_key(names["doc_id"], names["text"])
-    return docs.withColumn("_doc", key).join(hits.withColumnRenamed("doc", "_doc"), "_doc", "left_anti").select(*docs.columns)
+    key = fresh("doc", docs.columns)
+    keyed = docs.withColumn(key, row_key(names["doc_id"], names["text"]))
+    return keyed.join(hits.withColumnRenamed("doc", key), key, "left_anti").select(*docs.columns)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
