@@ -51,12 +51,14 @@ def test_stays_native(documents, spark):
     assert "Python" not in plan and "Pandas" not in plan
 
 
-def test_copies_of_few_pages_stay_and_lines_of_many_pages_go(documents, spark):
-    rows = [(i, f"line one\nline two\nversion {i % 3}", "en", f"s{i}") for i in range(30)]
+def test_copies_among_edited_copies_stay_and_columns_pass(documents, spark):
+    rows = [(i, "line one\nline two\nline three", "en", f"s{i}") for i in range(20)]  # copies
+    rows += [(50 + i, f"line one\nline two\nline three\nedited {i}", "en", f"s{i}") for i in range(20)]  # each once
     rows += [(100 + i, f"common line\nown line {i}", "en", f"s{i}") for i in range(12)] + [(200, "common line\n\tcommon line ", "en", None)]
     df = documents(rows).withColumn("cuts", F.lit(5)).withColumn("part", F.lit(6)).withColumn("weight", F.lit(7))
     got = {r.doc_id: r for r in L.remove_boilerplate(df).collect()}
     assert len(got) == len(rows) and {(r.cuts, r.part, r.weight) for r in got.values()} == {(5, 6, 7)}
-    assert all((got[i].text, got[i].n_removed) == (rows[i][1], 0) and got[i].n_boilerplate in (2, 3) for i in range(30))
+    assert all((got[i].text, got[i].n_removed, got[i].n_boilerplate) == (rows[i][1], 0, 3) for i in range(20))
+    assert all((got[50 + i].text, got[50 + i].n_removed) == (f"edited {i}", 3) for i in range(20))
     assert all((got[100 + i].text, got[100 + i].n_removed) == (f"own line {i}", 1) for i in range(12))
     assert (got[200].text, got[200].n_removed, got[200].n_lines) == ("", 2, 2)
