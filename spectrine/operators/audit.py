@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
+from .matrix import with_position
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
@@ -254,3 +255,34 @@ def runtime_alignment(result: DataFrame, samples: DataFrame) -> DataFrame:
         F.count("prediction").alias("n_predictions"),
         F.count("target").alias("n_targets"),
     ).withColumn("aligned", (F.col("n_ids") == F.col("n_predictions")) & (F.col("n_ids") == F.col("n_targets")) & (F.col("n_ids") == F.col("n_positions")))
+
+
+def case_threshold(df: DataFrame, case: str, *, at_least: int = 2, keys: Sequence[str] = ()) -> DataFrame:
+    """Per ``keys``, or in one row: the number of distinct cases (nulls are none) and whether there are enough."""
+    counted = df.groupBy(*keys).agg(F.count_distinct(case).alias("n_cases"))
+    return counted.withColumn("enough", F.col("n_cases") >= at_least)
+
+
+def hash_chain(df: DataFrame, hashes: Sequence[str]) -> DataFrame:
+    """Adds ``chain_equal`` (all hashes are there and equal) and ``first_break`` (the first that is null or differs from the first)."""
+    first = F.col(hashes[0])
+    broken = [F.when(first.isNull(), hashes[0]), *[F.when(~F.col(h).eqNullSafe(first), h) for h in hashes[1:]]]
+    return df.withColumn("first_break", F.coalesce(*broken)).withColumn("chain_equal", F.col("first_break").isNull())
+
+
+def blocked_workers(df: DataFrame, status: str, *, expected: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """Per ``keys``, or in one row: how many workers are blocked and whether that is exactly ``expected``."""
+    counted = df.groupBy(*keys).agg(F.count_if(F.col(status) == "blocked").alias("n_blocked"))
+    return counted.withColumn("as_expected", F.col("n_blocked") == expected)
+
+
+def order_match(a: DataFrame, b: DataFrame, *, order_a: str, order_b: str, key: str = "sample_id") -> DataFrame:
+    """One row: n_common, n_out_of_place (common ids at another position) and same_order (equal ids at equal positions)."""
+    left = with_position(a.select(key, F.col(order_a).alias("_o")), order="_o", name="_pa").select(key, "_pa")
+    right = with_position(b.select(key, F.col(order_b).alias("_o")), order="_o", name="_pb").select(key, "_pb")
+    common = F.col("_pa").isNotNull() & F.col("_pb").isNotNull()
+    return left.join(right, key, "full_outer").agg(
+        F.count_if(common).alias("n_common"),
+        F.count_if(common & (F.col("_pa") != F.col("_pb"))).alias("n_out_of_place"),
+        (F.count_if(~F.col("_pa").eqNullSafe(F.col("_pb"))) == 0).alias("same_order"),
+    )

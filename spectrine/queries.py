@@ -454,6 +454,34 @@ def declared_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(gaps).cast("long").alias("n_gaps"))
 
 
+@register("case_threshold", "SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_cases, count(DISTINCT o_orderpriority) >= 2 AS enough FROM orders GROUP BY o_custkey")
+def case_threshold(spark, sf_dir):
+    return audit.case_threshold(table(spark, sf_dir, "orders"), "o_orderpriority", keys=["o_custkey"])
+
+
+@register("hash_chain", "SELECT doc_id, CASE WHEN text IS NULL THEN 'stored' WHEN doc_id % 5 = 0 AND upper(text) <> text THEN 'reopened' WHEN doc_id % 7 = 0 THEN 'rerun' END AS first_break, text IS NOT NULL AND NOT (doc_id % 5 = 0 AND upper(text) <> text) AND doc_id % 7 <> 0 AS chain_equal FROM documents")
+def hash_chain(spark, sf_dir):
+    reopened = F.when(F.col("doc_id") % 5 == 0, F.upper("text")).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.sha2("text", 256).alias("stored"), F.sha2(reopened, 256).alias("reopened"),
+        F.when(F.col("doc_id") % 7 != 0, F.sha2("text", 256)).alias("rerun"),
+    )
+    return audit.hash_chain(docs, ["stored", "reopened", "rerun"]).select("doc_id", "first_break", "chain_equal")
+
+
+@register("blocked_workers", "SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'P') AS n_blocked, count(*) FILTER (WHERE o_orderstatus = 'P') = 3 AS as_expected FROM orders GROUP BY o_custkey")
+def blocked_workers(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "P", "blocked").otherwise("free")
+    return audit.blocked_workers(table(spark, sf_dir, "orders").withColumn("s", status), "s", keys=["o_custkey"])
+
+
+@register("order_match", "WITH p AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS a, row_number() OVER (ORDER BY vec_id + CASE WHEN vec_id % 10 = 0 THEN 2.5 ELSE 0 END) AS b FROM embeddings) SELECT count(*) AS n_common, count(*) FILTER (WHERE a <> b) AS n_out_of_place, count(*) FILTER (WHERE a <> b) = 0 AS same_order FROM p")
+def order_match(spark, sf_dir):
+    a = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sample_id"))
+    b = a.withColumn("o", F.col("sample_id") + F.when(F.col("sample_id") % 10 == 0, 2.5).otherwise(0.0))
+    return audit.order_match(a, b, order_a="sample_id", order_b="o")
+
+
 @register("rights", "SELECT n_nationkey, n_regionkey > 0 AS has_denials, n_nationkey % 2 = 0 AS grants_exact FROM nation")
 def rights_check(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").select(

@@ -213,6 +213,16 @@ def test_audit_errors(spark):
     assert audit.compare_by_id(*[spark.range(0).select(F.col("id").alias("sample_id"), F.lit(1.0).alias("target"), F.lit(1.0).alias("prediction"))] * 2).first().max_abs_target == 0.0
 
 
+def test_chains_and_counts(spark):
+    df = spark.createDataFrame([("a", "a", "a"), ("a", "b", "a"), (None, None, None), ("a", "a", None)], "x string, y string, z string")
+    assert [(r.chain_equal, r.first_break) for r in audit.hash_chain(df, ["x", "y", "z"]).collect()] == [(True, None), (False, "y"), (False, "x"), (False, "z")]
+    assert tuple(audit.case_threshold(df, "x").first()) == (1, False) and tuple(audit.case_threshold(df, "y").first()) == (2, True)
+    assert tuple(audit.blocked_workers(spark.createDataFrame([("blocked",)] * 3 + [("x",), (None,)], "s string"), "s").first()) == (3, True)
+    a = spark.range(5).select(F.col("id").alias("sample_id"), (-F.col("id")).alias("o"))
+    assert tuple(audit.order_match(a, a, order_a="o", order_b="o").first()) == (5, 0, True)
+    assert tuple(audit.order_match(a, a.where("sample_id > 0"), order_a="sample_id", order_b="o").first()) == (4, 3, False)  # id 2 is third in both
+
+
 def test_catalog():
     assert catalog.require_module("arrays") is np
     with pytest.raises(UnsupportedCapability):
