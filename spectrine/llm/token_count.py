@@ -1,21 +1,24 @@
 """Token counts of whole texts, exactly as the tokenizers library gives them.
 
-Long documents are encoded in overlapping chunks. Two neighbouring chunks are
-spliced where both have a token that starts at the same place, has the same id and
-end, and follows white space that both chunks hold. Such a boundary is proven
-stable: the tokenizer's normalizer and pre-tokenizer never look across white space
-and no added token holds any, so what precedes a boundary cannot change what
-follows it. Where the overlap has no such boundary it is widened, in the end to all
-that has not been spliced yet, so texts without white space are encoded whole.
-
-Inside a chunk, runs between ASCII white space are encoded by the library one by
-one (for the same reason this changes no token) and their encodings are kept in a
-bounded table, since most words of a corpus repeat.
+Texts up to ``CHUNK`` characters are encoded in one call. Longer ones are encoded in
+overlapping chunks, each by one call with the library's offsets. Two neighbouring
+chunks are spliced at a place where both have a token that starts there, with the
+same id and end, and that is a proven boundary of the loaded tokenizer: one that no
+pre-token and no added token crosses and that the normalizer does not look across
+(:func:`proven_places`). What precedes such a place cannot change what follows it,
+nor the reverse, so the left chunk counts up to it and the right one from it. An
+overlap without a whole stretch between two such places is widened before anything
+is encoded, and again where the two encodings do not agree. A chunk without any such
+place (one word of a million letters) grows up to the next one beyond its end.
+
+For a tokenizer whose parts the proofs do not cover no place is proven: its texts are
+encoded whole, in one call, whatever their length.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 
@@ -28,11 +31,51 @@ from .batches import bound_batches
 CHUNK = 32_768
 OVERLAP = 512
 LIMIT = 2048
-#: Entries of a worker's table of encoded runs, and the longest run that it keeps.
-TABLE, LONGEST = 300_000, 64
 
-_RUN = re.compile(r"[^ \t\n\r\f\v]+")
-_BLANK = frozenset(" \t\n\r\f\v")
+_BLANK = " \t\n\r\f\v"
+_STOPS = "\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f"
+
+# The pattern of the tokenizer file's pre-tokenizer that drops white space.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: After a CJK stop and before an ideograph: runs of letters hold no stops, runs of signs no letters.
+_AFTER_STOP = f"(?<=[{_STOPS}])(?=[\u4e00-\u9fff])"
+#: White space is dropped, so no pre-token holds any.
+_AFTER_BLANK = f"(?<=[{_BLANK}])(?=[^{_BLANK}])"
+#: A pre-token may begin with white space or be white space, but none has any after another character.
+_BEFORE_BLANK = f"(?<=\\S)(?=[{_BLANK}])"
+
+
+def _parts(step: dict | None, key: str) -> list[dict]:
+    if step is None:
+        return []
+    return [x for s in step[key] for x in _parts(s, key)] if step["type"] == "Sequence" else [step]
+
+
+def proven_places(config: dict) -> re.Pattern | None:
+    """The places of a text that no pre-token, added token or normalization crosses; None if nothing is proven.
+
+    ``config`` is the tokenizer file's content. Covered are normalizers of NFC, lower case and folding of
+    white space (none of which composes or moves characters across white space or a CJK stop) with a
+    pre-tokenizer that keeps words and drops white space, or NFC alone with the byte-level one, which
+    keeps white space in front of words.
+    """
+    for token in config.get("added_tokens") or []:
+        if token["lstrip"] or token["rstrip"] or token["single_word"] or re.search(rf"[\s{_STOPS}]", token["content"]):
+            return None
+    if config.get("post_processor") is not None:  # may move offsets
+        return None
+    forms = _parts(config.get("normalizer"), "normalizers")
+    splits = _parts(config.get("pre_tokenizer"), "pretokenizers")
+    fold = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    words = {"type": "Split", "pattern": {"Regex": _WORD_PATTERN}, "behavior": "Removed", "invert": True}
+    if splits[:1] == [words] and all(f["type"] in ("NFC", "Lowercase") or f == fold for f in forms):
+        if all(s["type"] == "ByteLevel" and not s["add_prefix_space"] for s in splits[1:]):
+            return re.compile(f"{_AFTER_BLANK}|{_AFTER_STOP}")
+    if len(splits) == 1 and splits[0]["type"] == "ByteLevel" and all(f["type"] == "NFC" for f in forms):
+        if splits[0].get("use_regex", True) and not splits[0]["add_prefix_space"]:
+            return re.compile(f"{_BEFORE_BLANK}|{_AFTER_STOP}")
+    return None
 
 
 class Counter:
@@ -45,79 +88,76 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.places = proven_places(json.loads(self.tokenizer.to_str()))
         self.chunk, self.overlap = chunk, overlap
-        self.counts: dict[str, int] = {}
-        self.runs: dict[str, list[tuple[int, int, int]]] = {}
 
     def count(self, text: str | None) -> int:
         """Number of tokens; 0 for null and empty text."""
         if not text:
             return 0
-        return self._short(text) if len(text) <= self.chunk else self._long(text)
-
-    def _short(self, text: str) -> int:
-        words = _RUN.findall(text)
-        if missing := set(words).difference(self.counts):
-            if len(self.counts) + len(missing) > TABLE:
-                self.counts = {}
-                missing = set(words)
-            missing = list(missing)
-            for k in range(0, len(missing), 2000):
-                part = missing[k : k + 2000]
-                for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    self.counts[word] = len(got.ids)
-        return sum(map(self.counts.__getitem__, words))
-
-    def _run(self, word: str) -> list[tuple[int, int, int]]:
-        got = self.runs.get(word)
-        if got is None:
-            code = self.tokenizer.encode(word, add_special_tokens=False)
-            got = [(a, b, i) for (a, b), i in zip(code.offsets, code.ids, strict=True)]
-            if len(word) <= LONGEST:
-                if len(self.runs) >= TABLE // 4:
-                    self.runs = {}
-                self.runs[word] = got
-        return got
-
-    def encode(self, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
-        """(start, end, id) of the tokens of text[a:b], as places in ``text``."""
-        out = []
-        for m in _RUN.finditer(text, a, b):
-            at = m.start()
-            out += [(at + x, at + y, i) for x, y, i in self._run(m.group())]
-        return out
-
-    def _common(self, text: str, left: list, right: list, a: int, b: int) -> int | None:
-        """The last stable boundary of both encodings strictly inside (a, b)."""
-        known = set(right)
-        for token in reversed(left):
-            if token[0] <= a:
-                return None
-            if token[1] < b and text[token[0] - 1] in _BLANK and token in known:
-                return token[0]
+        return self._whole(text) if len(text) <= self.chunk or self.places is None else self._long(text)
+
+    def _whole(self, text: str) -> int:
+        return len(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0])
+
+    def encode(self, text: str, a: int, b: int):
+        """The library's encoding of text[a:b], in one call."""
+        return self.tokenizer.encode(text[a:b], add_special_tokens=False)
+
+    def _stretch(self, text: str, a: int, b: int) -> bool:
+        """Whether two proven places lie strictly inside (a, b), so that both chunks hold all between them."""
+        first = self.places.search(text, a + 1, b)
+        return bool(first) and self.places.search(text, first.start() + 1, b) is not None
+
+    def _end(self, text: str, a: int, b: int) -> int:
+        """``b``, or the end of the first stretch beyond it where (a, b) has none; the text's end at most."""
+        if b >= len(text) or self._stretch(text, a, b):
+            return min(b, len(text))
+        for _ in range(2):
+            found = self.places.search(text, b + 1)
+            if found is None:
+                return len(text)
+            b = found.start()
+        return min(len(text), b + self.overlap)
+
+    def _common(self, text: str, left, base: int, right, a: int, b: int) -> tuple[int, int, int] | None:
+        """A proven place strictly inside (a, b) where both encodings have the same token, and its numbers in them.
+
+        ``base`` and ``a`` are where the chunks begin. The last such place is taken.
+        """
+        ids, others = left.ids, right.ids
+        for place in reversed([m.start() for m in self.places.finditer(text, a + 1, b)]):
+            i, j = left.char_to_token(place - base), right.char_to_token(place - a)
+            if i is None or j is None or ids[i] != others[j]:
+                continue
+            (x, y), (u, v) = left.token_to_chars(i), right.token_to_chars(j)
+            if base + x == a + u == place and base + y == a + v < b:
+                return place, i, j
         return None
 
     def _long(self, text: str) -> int:
-        n, start, end, total = len(text), 0, min(len(text), self.chunk), 0
-        left = self.encode(text, start, end)
+        n, start, base, skip, total = len(text), 0, 0, 0, 0
+        end = self._end(text, 0, self.chunk)
+        if end == n:
+            return self._whole(text)
+        left = self.encode(text, 0, end)
         while end < n:
-            overlap, grow = self.overlap, self.chunk
-            while True:
+            b, overlap, found = self._end(text, end, end + self.chunk), self.overlap, None
+            while found is None:
                 a = max(start, end - overlap)
-                b = min(n, end + grow)
-                right = self.encode(text, a, b)
-                if (p := self._common(text, left, right, a, end)) is not None:
-                    total += sum(1 for t in left if t[0] < p)
-                    left, start, end = [t for t in right if t[0] >= p], p, b
+                if self._stretch(text, a, end):
+                    right = self.encode(text, a, b)
+                    found = self._common(text, left, base, right, a, end)
+                if a == start:
                     break
-                if a == start:  # nothing left to overlap with: the chunk itself grows
-                    left, end = right, b
-                    grow = max(grow, end - start)
-                    if end >= n:
-                        break
-                    continue
                 overlap *= 2
-        return total + len(left)
+            if found is None:  # nothing left to overlap with: the chunk itself grows
+                left, base, skip, end = self.encode(text, start, b), start, 0, b
+            else:
+                place, i, j = found
+                total += i - skip
+                left, base, start, skip, end = right, a, place, j, b
+        return total + len(left) - skip
 
 
 @functools.lru_cache(maxsize=4)

@@ -82,3 +82,74 @@ def test_digests(edge, encoding):
     codec = byte_bpe._codec(RANKS, P.PATTERN)
     part = np.asarray(encoding.encode_ordinary("é👍")[:1], "<u4").tobytes()
     assert codec.decode(part) == encoding.decode_single_token_bytes(int(np.frombuffer(part, "<u4")[0]))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@settings(max_examples=150, deadline=None)
+@given(parts=st.lists(st.sampled_from([*ODD, "。", "，漢", "\r\n", "Σ", "ᄀ", "ᅡ", "    "]), min_size=1, max_size=60), chunk=st.integers(4, 40), overlap=st.integers(1, 8))
+def test_both_families_splice(name, parts, chunk, overlap):
+    text = "".join(parts)
+    counter = _counters[name] = _counters.get(name) or token_count.Counter(P.path(name))
+    counter.chunk, counter.overlap = chunk, overlap
+    assert counter.places is not None and counter._long(text) == counter._whole(text)
+
+
+_counters = {}
+
+
+class Traced(token_count.Counter):
+    """Notes the spans that are encoded in one call."""
+
+    def encode(self, text, a, b):
+        self.spans.append((a, b))
+        return super().encode(text, a, b)
+
+
+@pytest.mark.parametrize("text", ["some words and more " * 20_000, "漢字仮名交，文化学。" * 20_000, "漢字" * 100_000, "x" * 100_000 + " y" * 60_000])
+def test_chunks_overlap_and_cover(text, library):
+    counter = Traced(JSON)
+    counter.spans = []
+    assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    spans = counter.spans
+    if spans:  # a text without any proven place is one call
+        assert spans[0][0] == 0 and spans[-1][1] == len(text)
+        assert all(b[0] < a[1] < b[1] for a, b in zip(spans, spans[1:], strict=False))
+        assert sum(b - a for a, b in spans) < 1.1 * len(text)  # nothing is encoded again and again
+
+
+def test_failed_alignment_widens_and_ends_right(library):
+    class Blind(Traced):
+        def _common(self, *args):
+            self.tries += 1
+            return super()._common(*args) if self.tries > self.blind else None
+
+    text = "some words and more " * 20_000
+    for blind in (1, 5, 10**9):
+        counter = Blind(JSON)
+        counter.spans, counter.tries, counter.blind = [], 0, blind
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+        if blind == 5:
+            assert counter.spans[1][0] - counter.spans[2][0] == token_count.OVERLAP
+
+
+def test_tokenizers_without_proof_encode_whole(tmp_path, library):
+    import json
+
+    base = json.loads(library.to_str())
+    for change in (
+        {"normalizer": {"type": "NFKC"}},
+        {"pre_tokenizer": {"type": "Whitespace"}},
+        {"added_tokens": [{**base["added_tokens"][0], "lstrip": True}]},
+        {"added_tokens": [{**base["added_tokens"][0], "content": "two words"}]},
+    ):
+        assert token_count.proven_places({**base, **change}) is None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps({**base, "normalizer": {"type": "NFKC"}}))
+    text = "ｗｏｒｄ and ﬁ " * 10_000
+    assert token_count.Counter(str(path)).count(text) == len(Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids)
+
+
+def test_clashing_columns_are_replaced(edge):
+    clash = edge.selectExpr("*", "'a' as n_tokens", "'b' as n_bytes", "'c' as over_limit", "'d' as tokens")
+    rows = token_count.count_tokens(clash, JSON).collect()
+    assert all(isinstance(r.n_tokens, int) and isinstance(r.over_limit, bool) and r.tokens == "d" for r in rows)
