@@ -16,8 +16,11 @@ P against U gives the density ratio p(x | 1) / p(x), which is 1 / pi wherever te
 are certainly positive, so pi is the inverse of its median over P. Negative labels are
 not used.
 
-Scoring covers every row. Only the fit takes a sample: about ``MAX_FIT`` texts each
-of P and of U at most, chosen by a hash of id and text.
+Features of all texts of U are written once, 22 figures a text. Their moments, the
+density ratio behind the prior and the output layer, whose risk is convex, are fitted on
+all of them by Newton steps: a pass sums loss, gradient and Hessian by task. A bounded
+sample serves only to start: the hidden layer is fitted on about ``MAX_FIT`` texts of U and
+the labelled texts P, of which about ``MAX_FIT`` at most are taken, by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bound_batches
+from .scratch import Scratch
 
 THRESHOLD = 0.7
 MAX_FIT = 20_000
@@ -38,6 +42,7 @@ STEPS = 1500
 BATCH = 1024
 SEED = 20
 WINDOW = 50
+PASSES = 8
 
 N_FEATURES = 22
 _SYMBOLS = "%&#$*@^~<>{}[]\\/=+_"
@@ -120,27 +125,42 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -30, 30)))
 
 
+def _moments(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return u.mean(0), np.where(u.std(0) < 1e-6, 1.0, u.std(0))
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, steps: int = 300) -> float:
-    """The share of positives in U, from standardised P and U alone."""
+def _ratio_weights(p: np.ndarray, u: np.ndarray, steps: int = 300) -> np.ndarray:
+    """Weights of a logistic regression of P against U, classes of equal weight; the last one is the constant."""
     x, y = np.vstack([p, u]), np.r_[np.ones(len(p)), np.zeros(len(u))]
     x = np.c_[x, np.ones(len(x))]
     w = np.zeros(x.shape[1])
     weight = np.where(y == 1, 0.5 / len(p), 0.5 / len(u))
     for _ in range(steps):
         w -= 0.5 * (x.T @ (weight * (_sigmoid(x @ w) - y)) + 1e-3 * w)
+    return w
+
+
+def _prior(p: np.ndarray, w: np.ndarray) -> float:
     ratio = np.exp(np.clip(np.c_[p, np.ones(len(p))] @ w, -30, 30))
     return float(np.clip(1 / np.median(ratio), 0.05, 0.99))
 
 
-def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = SEED) -> Model:
-    """Fit on feature matrices of positives and unlabelled texts; the same input gives the same model."""
+def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
+    """The share of positives in U, from standardised P and U alone."""
+    return _prior(p, _ratio_weights(p, u))
+
+
+def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = SEED, moments: tuple | None = None) -> Model:
+    """Fit on feature matrices of positives and unlabelled texts; the same input gives the same model.
+
+    ``moments`` are means and deviations to standardise by, those of ``u`` by default.
+    """
     p, u = p[np.lexsort(p.T)].astype(np.float64), u[np.lexsort(u.T)].astype(np.float64)
-    mean, scale = u.mean(0), u.std(0)
-    scale[scale < 1e-6] = 1.0
+    mean, scale = moments or _moments(u)
     p, u = np.clip((p - mean) / scale, -8, 8), np.clip((u - mean) / scale, -8, 8)
     prior = estimate_prior(p, u) if prior is None else float(np.clip(prior, 0.01, 0.99))
     rng = np.random.default_rng(seed)
@@ -173,28 +193,86 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(True))
 
 
-def _sample(df: DataFrame, at_most: int) -> np.ndarray:
-    """Features of about ``at_most`` different rows of (doc_id, text), chosen by a hash; repeated rows count once."""
-    bound_batches(df.sparkSession)
-    n = df.select(F.count(F.lit(1))).first()[0]
-    df = df.withColumn("h", F.xxhash64("doc_id", "text", F.lit(3)))
-    if n > at_most:
-        df = df.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * at_most / n))
+def _figures(texts: DataFrame) -> DataFrame:
+    """(doc_id, h, x): id, a hash of id and text, and features of every row."""
 
     @F.pandas_udf("array<float>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([features(x) for x in texts], dtype=object)
 
-    got = df.select("h", of("text").alias("x")).dropDuplicates(["h"]).select("x").toPandas()
+    return texts.select("doc_id", F.xxhash64("doc_id", "text", F.lit(3)).alias("h"), of("text").alias("x"))
+
+
+def _sample(figures: DataFrame, at_most: int) -> np.ndarray:
+    """Features of about ``at_most`` different rows, chosen by their hash; repeated rows count once."""
+    n = figures.select(F.count(F.lit(1))).first()[0]
+    if n > at_most:
+        figures = figures.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * at_most / n))
+    got = figures.dropDuplicates(["h"]).select("x").toPandas()
     return np.stack(got["x"].to_numpy()) if len(got) else np.zeros((0, N_FEATURES), np.float32)
 
 
+def _all_moments(figures: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature over all rows, in single precision, so that no order of summing shows."""
+    at = [F.get("x", F.lit(i)).cast("double") for i in range(N_FEATURES)]
+    got = np.array(figures.select(*map(F.avg, at), *map(F.stddev_pop, at)).first(), dtype=np.float32).astype(np.float64)
+    mean, scale = got[:N_FEATURES], got[N_FEATURES:]
+    return mean, np.where(scale < 1e-6, 1.0, scale)
+
+
+def _sums(figures: DataFrame, basis, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Means over all rows of log(1 + exp(g)), its gradient and its Hessian in ``w``, for g = basis(x) @ w."""
+    d = len(w)
+
+    def run(batches):
+        total = np.zeros(2 + d + d * d)
+        for pdf in batches:
+            if len(pdf):
+                z = basis(np.stack(pdf["x"].to_numpy()).astype(np.float64))
+                g = z @ w
+                s = _sigmoid(g)
+                total += np.r_[len(z), np.logaddexp(0, g).sum(), s @ z, ((z * (s * (1 - s))[:, None]).T @ z).ravel()]
+        yield pd.DataFrame({"cell": np.arange(len(total), dtype=np.int32), "v": total})
+
+    rows = figures.select("x").mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+    got = np.zeros(2 + d + d * d)
+    for r in rows:
+        got[r.cell] = r.v
+    got[1:] /= max(1.0, got[0])
+    return got[1], got[2 : 2 + d], got[2 + d :].reshape(d, d)
+
+
+def _newton(figures: DataFrame, basis, w: np.ndarray, share: float, positives, ridge: float) -> np.ndarray:
+    """The ``w`` that minimises ``share`` times the mean over all rows of log(1 + exp(g)) plus what ``positives`` adds.
+
+    ``positives(w, mean)`` gives value, gradient and Hessian of the part of P, and whether ``w`` may be
+    taken, given that mean. A step that raises the sum or may not be taken is halved; ``PASSES`` passes at most.
+    """
+    best, step = None, np.zeros_like(w)
+    for _ in range(PASSES):
+        mean, gradient, hessian = _sums(figures, basis, w + step)
+        value, g, h, allowed = positives(w + step, mean)
+        value += share * mean + ridge / 2 * float((w + step) @ (w + step))
+        if best is None and not allowed:
+            return w
+        if best is not None and (not allowed or value > best):
+            step = step / 2
+            continue
+        w, done = w + step, best is not None and best - value < 1e-7
+        best = value
+        if done:
+            break
+        step = -np.linalg.solve(share * hessian + h + ridge * np.eye(len(w)), share * gradient + g + ridge * w)
+    return np.round(w, 9)
+
+
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit: int = MAX_FIT) -> Model:
-    """Fit on texts labelled 1 and on texts without regard to labels, of rows that are not held out.
+    """Fit on texts labelled 1 and on all texts without regard to labels, of rows that are not held out.
 
     Labels other than 0 and 1 and rows without id or text are left out; an id
-    labelled both ways is no positive. Without any usable positive the model is the
-    prior alone and scores every text alike.
+    labelled both ways is no positive. Repeated rows of U count as often as they stand.
+    Without any usable positive the model is the prior alone and scores every text alike.
+    A Newton step that would turn the risk's second part negative is not taken.
     """
     known = (
         labels.select("doc_id", F.col(label).alias("y"))
@@ -202,13 +280,45 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit
         .groupBy("doc_id")
         .agg(F.min("y").alias("y"))
     )
+    bound_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "quality")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    p = _sample(texts.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi"), max_fit)
-    u = _sample(texts, max_fit) if len(p) else []
-    if not len(p) or not len(u):
+    figures = scratch.save(_figures(texts), "figures")
+    p = _sample(figures.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi"), max_fit).astype(np.float64)
+    if not len(p):
+        scratch.drop("figures")
         flat = np.zeros(N_FEATURES)
         return Model(flat, flat + 1, np.zeros((N_FEATURES, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0, 0.5)
-    return fit(p, u)
+    p = p[np.lexsort(p.T)]
+    mean, scale = moments = _all_moments(figures)
+
+    def plain(x):
+        return np.c_[np.clip((x - mean) / scale, -8, 8), np.ones(len(x))]
+
+    z = plain(p)
+
+    def ratio(w, _):
+        s = _sigmoid(-(z @ w))
+        return 0.5 * np.logaddexp(0, -(z @ w)).mean(), -0.5 * (s @ z) / len(z), 0.5 * (z * (s * (1 - s))[:, None]).T @ z / len(z), True
+
+    u = _sample(figures, max_fit).astype(np.float64)
+    u = u[np.lexsort(u.T)]
+    start = _ratio_weights(z[:, :-1], plain(u)[:, :-1])
+    prior = round(_prior(z[:, :-1], _newton(figures, plain, start, 0.5, ratio, 1e-3)), 6)
+    model = fit(p, u, prior, moments=moments)
+
+    def hidden(x):
+        return np.c_[np.tanh(plain(x)[:, :-1] @ model.w1 + model.b1), np.ones(len(x))]
+
+    k = hidden(p)
+
+    def risk(w, mean):
+        g = k @ w
+        return -prior * g.mean(), -prior * k.mean(0), 0.0, mean >= prior * np.logaddexp(0, g).mean()
+
+    w = _newton(figures, hidden, np.r_[model.w2, model.b2], 1.0, risk, 1e-4)
+    scratch.drop("figures")
+    return Model(mean, scale, model.w1, model.b1, w[:-1], float(w[-1]), prior)
 
 
 def score(text: Column, model: Model) -> Column:

@@ -54,3 +54,34 @@ def test_edges(corpus, edge, spark):
         flat = Q.train(docs, bad)
         assert {r.score for r in Q.classify(docs.limit(5), flat).collect()} == {0.5}
     assert Q.train(edge.limit(0), labels).prior == 0.5
+
+
+def test_newton_over_all_rows_equals_a_dense_fit(spark):
+    rng = np.random.default_rng(4)
+    p, u = rng.normal(0.7, 1, (300, Q.N_FEATURES)), rng.normal(0, 1, (2000, Q.N_FEATURES))
+    figures = spark.createDataFrame([(i, i, x.tolist()) for i, x in enumerate(u.astype(np.float32))], "doc_id long, h long, x array<float>")
+
+    def plain(x):
+        return np.c_[x, np.ones(len(x))]
+
+    z, every = plain(p), plain(u.astype(np.float32).astype(np.float64))
+
+    def part(w, _):
+        s = Q._sigmoid(-(z @ w))
+        return 0.5 * np.logaddexp(0, -(z @ w)).mean(), -0.5 * (s @ z) / len(z), 0.5 * (z * (s * (1 - s))[:, None]).T @ z / len(z), True
+
+    got = Q._newton(figures.repartition(5), plain, np.zeros(z.shape[1]), 0.5, part, 1e-3)
+    w = np.zeros(z.shape[1])
+    for _ in range(20_000):  # brute force: plain descent on the same sum
+        w -= 0.5 * (0.5 * (Q._sigmoid(every @ w) @ every) / len(every) - 0.5 * (Q._sigmoid(-(z @ w)) @ z) / len(z) + 1e-3 * w)
+    assert np.allclose(got, w, atol=1e-4)
+    refused = Q._newton(figures, plain, w, 0.5, lambda w, _: (*part(w, _)[:3], False), 1e-3)
+    assert np.array_equal(refused, w)
+
+
+def test_all_moments(spark):
+    rng = np.random.default_rng(5)
+    u = rng.normal(3, 2, (500, Q.N_FEATURES)).astype(np.float32)
+    figures = spark.createDataFrame([(i, i, x.tolist()) for i, x in enumerate(u)], "doc_id long, h long, x array<float>")
+    mean, scale = Q._all_moments(figures.repartition(3))
+    assert np.allclose(mean, u.mean(0), atol=1e-5) and np.allclose(scale, u.std(0), atol=1e-5)
