@@ -62,6 +62,43 @@ def kennard_stone(test_size: float) -> list[str]:
     ]
 
 
+def grouped_kennard_stone(test_size: float) -> list[str]:
+    """CTE ``part(g, i, partition, ord)`` from ``l`` and ``e``: a split of each label's rows, of two train rows or more."""
+    return [
+        "g AS MATERIALIZED (SELECT i, CAST(y AS INTEGER) AS g FROM e)",
+        "pair AS MATERIALIZED (SELECT a.g, a.i AS a, b.i AS b FROM g a JOIN g b ON a.g = b.g)",
+        "dist AS MATERIALIZED (SELECT p.g, p.a, p.b, sum((x.v - y.v) * (x.v - y.v)) AS d FROM pair p JOIN l x ON x.i = p.a JOIN l y ON y.i = p.b AND y.j = x.j GROUP BY p.g, p.a, p.b)",
+        "seed AS MATERIALIZED (SELECT g, a AS p, b AS q FROM dist WHERE a < b QUALIFY row_number() OVER (PARTITION BY g ORDER BY d DESC, a, b) = 1)",
+        f"size AS MATERIALIZED (SELECT g, count(*) - greatest(1, CAST(ceil(count(*) * {test_size} - 1e-12) AS BIGINT)) AS n FROM g GROUP BY g)",
+        """walk(step, g, i, m, ord) AS (
+  SELECT 2, g.g, g.i, least(dp.d, dq.d), CASE WHEN g.i = s.p THEN 0 WHEN g.i = s.q THEN 1 END
+  FROM g JOIN seed s ON s.g = g.g JOIN dist dp ON dp.a = s.p AND dp.b = g.i JOIN dist dq ON dq.a = s.q AND dq.b = g.i
+  UNION ALL
+  SELECT w.step + 1, w.g, w.i, least(w.m, d.d), CASE WHEN w.ord IS NULL AND w.i = w.next THEN w.step ELSE w.ord END
+  FROM (SELECT *, first_value(i) OVER (PARTITION BY g ORDER BY (ord IS NOT NULL), m DESC, i) AS next FROM walk) w
+  JOIN size z ON z.g = w.g JOIN dist d ON d.a = w.next AND d.b = w.i WHERE w.step < z.n
+)""",
+        """part AS MATERIALIZED (
+  SELECT w.g, w.i, CASE WHEN w.ord IS NULL THEN 'test' ELSE 'train' END AS partition,
+         CAST(coalesce(w.ord, row_number() OVER (PARTITION BY w.g, w.ord IS NULL ORDER BY w.i) - 1) AS INTEGER) AS ord
+  FROM walk w JOIN size z ON z.g = w.g WHERE w.step = z.n
+)""",
+    ]
+
+
+def pls_weights(k: int) -> list[str]:
+    """CTEs ``r<a>(j, v)`` after those of :func:`pls`: the weights by which the standardised columns give each score."""
+    out = ["r1 AS MATERIALIZED (SELECT j, w AS v FROM w1)"]
+    for a in range(2, k + 1):
+        shares = " ".join(
+            f"- (SELECT sum(p.p * x.w) FROM p{b} p JOIN w{a} x ON x.j = p.j) * (SELECT r.v FROM r{b} r WHERE r.j = w.j)" for b in range(1, a)
+        )
+        out.append(f"r{a} AS MATERIALIZED (SELECT w.j, w.w {shares} AS v FROM w{a} w)")
+    cells = " UNION ALL ".join(f"SELECT r.j, r.v * q.q AS v FROM r{a} r CROSS JOIN q{a} q" for a in range(1, k + 1))
+    out.append(f"slope AS MATERIALIZED (SELECT c.j, sum(c.v) * any_value(sy.s) / any_value(st.s) AS v FROM ({cells}) c JOIN st ON st.j = c.j CROSS JOIN sy GROUP BY c.j)")
+    return out
+
+
 def pls(source: str, k: int, *, split: bool = False) -> list[str]:
     """CTEs ``e<a>``/``f<a>`` of k NIPALS deflations and ``pred<a>(i, y, p)`` for the rows to predict."""
     train = "i IN (SELECT i FROM part WHERE partition = 'train')" if split else "TRUE"

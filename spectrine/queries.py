@@ -171,7 +171,7 @@ def ks_order(spark, sf_dir):
     return split.kennard_stone_split(spectra(spark, sf_dir), 0.25)
 
 
-@register("ks_split_by_label")
+@register("ks_split_by_label", query((*SPECTRA, *oracles.grouped_kennard_stone(0.3)), "SELECT g AS label, i AS sample_id, partition, ord FROM part", recursive=True))
 def ks_split_by_label(spark, sf_dir):
     return split.kennard_stone_split(spectra(spark, sf_dir).withColumn("label", F.col("target").cast("int")), 0.3, group="label")
 
@@ -208,7 +208,10 @@ for _k in (1, 2, 4):
     )
 
 
-@register("pls_coefficients")
+_SLOPES = f"SELECT CAST(0 AS BIGINT) AS j, {r6('sy.m - (SELECT sum(st.m * b.v) FROM st JOIN slope b ON b.j = st.j)')} AS coefficient FROM sy UNION ALL SELECT j, {r6('v')} FROM slope"
+
+
+@register("pls_coefficients", query((*SPECTRA, *oracles.pls("l", 4), *oracles.pls_weights(4)), _SLOPES))
 def pls_coefficients(spark, sf_dir):
     model = pls.fit(spectra(spark, sf_dir), 4)[3]
     rows = [(0, model.intercept), *((j + 1, float(b)) for j, b in enumerate(model.coefficients))]
