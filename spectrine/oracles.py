@@ -7,7 +7,9 @@ for the maximin split. Every fragment is a list of CTEs; :func:`query` joins the
 
 from __future__ import annotations
 
-from .functions.kernels import savgol_matrix
+import math
+from collections import Counter
+from fractions import Fraction
 
 SPECTRA = (
     "e AS MATERIALIZED (SELECT vec_id AS i, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x, CAST(label AS DOUBLE) AS y FROM embeddings)",
@@ -30,10 +32,48 @@ def snv(source: str, name: str) -> str:
     )
 
 
-def savgol(source: str, name: str, width: int, *params) -> str:
-    matrix, offset = savgol_matrix(width, *params)
-    cells = ", ".join(f"({r + 1}, {c + 1}, {matrix[r, c]!r}::DOUBLE)".replace("np.float64(", "").replace(")::", "::") for r in range(width) for c in range(width) if matrix[r, c])
-    shifts = ", ".join(f"({r + 1}, {float(offset[r])!r}::DOUBLE)" for r in range(width))
+def _gram(k: int, s: int, t: int, m: int) -> Fraction:
+    """The s-th derivative at t of the Gram polynomial of degree k over -m..m, by its recurrence."""
+    if k < 0 or s < 0 or (k == 0 and s > 0):
+        return Fraction(0)
+    if k == 0:
+        return Fraction(1)
+    up = Fraction(4 * k - 2, k * (2 * m - k + 1)) * (t * _gram(k - 1, s, t, m) + s * _gram(k - 1, s - 1, t, m))
+    return up - Fraction((k - 1) * (2 * m + k), k * (2 * m - k + 1)) * _gram(k - 2, s, t, m)
+
+
+def _gram_weights(m: int, order: int, deriv: int, t: int) -> list[Fraction]:
+    """Exact weights of samples -m..m for the derivative at t of their least-squares polynomial."""
+    norm = [Fraction((2 * k + 1) * math.perm(2 * m, k), math.perm(2 * m + k + 1, k + 1)) for k in range(order + 1)]
+    at = [_gram(k, deriv, t, m) for k in range(order + 1)]
+    return [sum(norm[k] * _gram(k, 0, i, m) * at[k] for k in range(order + 1)) for i in range(-m, m + 1)]
+
+
+def _padded(width: int, m: int, mode: str) -> list[int | None]:
+    """The columns that stand at -m..width + m - 1; None is the constant. For rows of more than m values."""
+    row = list(range(width))
+    before, after = {
+        "mirror": (row[m:0:-1], row[-2 : -m - 2 : -1]),
+        "nearest": (row[:1] * m, row[-1:] * m),
+        "wrap": (row[-m:], row[:m]),
+    }.get(mode, ([None] * m, [None] * m))
+    return before + row + after
+
+
+def savgol(source: str, name: str, width: int, window: int, order: int, deriv: int = 0, mode: str = "interp", cval: float = 0.0) -> str:
+    m = window // 2
+    at, centre = _padded(width, m, mode), _gram_weights(m, order, deriv, 0)
+    table, shift = Counter(), Counter()
+    for r in range(width):
+        edge = min(max(r, m), width - 1 - m) if mode == "interp" else r
+        columns = at[edge : edge + window]
+        for c, w in zip(columns, centre if edge == r else _gram_weights(m, order, deriv, r - edge), strict=True):
+            if c is None:
+                shift[r] += w * Fraction(cval)
+            else:
+                table[r, c] += w
+    cells = ", ".join(f"({r + 1}, {c + 1}, {float(w)!r}::DOUBLE)" for (r, c), w in sorted(table.items()) if w)
+    shifts = ", ".join(f"({r + 1}, {float(shift[r])!r}::DOUBLE)" for r in range(width))
     return (
         f"{name} AS MATERIALIZED (SELECT s.i, CAST(o.r AS BIGINT) AS j, sum(o.w * s.v) + any_value(c.c) AS v FROM {source} s "
         f"JOIN (VALUES {cells}) AS o(r, k, w) ON o.k = s.j JOIN (VALUES {shifts}) AS c(r, c) ON c.r = o.r GROUP BY s.i, o.r)"
