@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, fill_in_middle, license_scan, line_dedup, near_dup, quality, quality_rules, sharding, token_count, topk, warc
+from . import byte_bpe, collocations, decontaminate, fill_in_middle, license_scan, line_dedup, near_dup, quality, quality_rules, sharding, token_count, topk, warc
 
 _MODULES = {
     "op1_line_dedup": line_dedup,
@@ -17,6 +17,7 @@ _MODULES = {
     "op10_sharding": sharding,
     "op11_quality_rules": quality_rules,
     "op12_fill_in_middle": fill_in_middle,
+    "op13_collocations": collocations,
 }
 
 
