@@ -92,20 +92,19 @@ def resolve_revisits(records: DataFrame, *, slice_seconds: int = SLICE_SECONDS)
     """
     added = ("canonical_url", "refers_to", "outcome", "merged_headers", "merged_body")
     keep = [c for c in records.columns if c not in added]
-    rows = (
-        records.select(*keep)
-        .withColumn("canonical_url", canonical_url(F.col("target_uri")))
-        .withColumn("_headers", _lowered(F.col("headers")))
-    )
-    known = F.col("canonical_url").isNotNull() & F.col("warc_date").isNotNull()
-    time = F.unix_micros("warc_date")
-    asked = F.coalesce(F.col("warc_type") == "revisit", F.lit(False))
-    full = F.coalesce((F.col("warc_type") == "response") & (F.col("status") == 200) & F.col("body").isNotNull(), F.lit(False))
+    # a record is one struct from here on, so that no column of it meets a name used below
+    row = F.struct(*[F.col(f"`{c}`") for c in keep])
+    rows = records.select(row.alias("row"), canonical_url(F.col("target_uri")).alias("canonical_url"), _lowered(F.col("headers")).alias("headers"))
+    rid = F.coalesce("row.record_id", F.lit(""))
+    known = F.col("canonical_url").isNotNull() & F.col("row.warc_date").isNotNull()
+    time = F.unix_micros("row.warc_date")
+    asked = F.coalesce(F.col("row.warc_type") == "revisit", F.lit(False))
+    full = F.coalesce((F.col("row.warc_type") == "response") & (F.col("row.status") == 200) & F.col("row.body").isNotNull(), F.lit(False))
 
     events = rows.where(known & (asked | full)).select(
         F.xxhash64("canonical_url").alias("u"), "canonical_url", time.alias("t"),
         F.floor(time / (slice_seconds * 1_000_000)).alias("slice"), full.alias("full"),
-        F.coalesce("record_id", F.lit("")).alias("rid"),
+        rid.alias("rid"),
     ).distinct()
     # the last response of each slice, handed on to later slices of the URL
     last = events.where("full").groupBy("canonical_url", "slice").agg(F.max(F.struct("t", "rid")).alias("own"))
@@ -125,36 +124,36 @@ def resolve_revisits(records: DataFrame, *, slice_seconds: int = SLICE_SECONDS)
     # only responses that something refers to are moved, and each once; records that are no revisit stay where they are
     spot = ["canonical_url", "ref_t", "ref_rid"]
     stored = rows.where(known & full).select(
-        "canonical_url", time.alias("ref_t"), F.coalesce("record_id", F.lit("")).alias("ref_rid"),
-        F.col("_headers").alias("_stored"), F.col("body").alias("_body"),
+        "canonical_url", time.alias("ref_t"), rid.alias("ref_rid"),
+        F.col("headers").alias("stored"), F.col("row.body").alias("body"),
     ).join(found.select(*spot).distinct(), spot, "left_semi").dropDuplicates(spot)
-    named = found.select(F.col("canonical_url").alias("_u"), F.col("t").alias("_t"), F.col("rid").alias("_rid"), "ref_t", "ref_rid")
+    named = found.select(F.col("canonical_url").alias("u"), "t", "rid", "ref_t", "ref_rid")
     revisits = rows.where(asked).join(
         named,
-        (F.col("canonical_url") == F.col("_u")) & (time == F.col("_t")) & (F.coalesce("record_id", F.lit("")) == F.col("_rid")),
+        (F.col("canonical_url") == F.col("u")) & (time == F.col("t")) & (rid == F.col("rid")),
         "left",
     )
     joined = revisits.join(stored, spot, "left")
-    tags = (_weak(F.element_at("_headers", F.lit("etag"))), _weak(F.element_at("_stored", F.lit("etag"))))
-    dates = (F.element_at("_headers", F.lit("last-modified")), F.element_at("_stored", F.lit("last-modified")))
+    tags = (_weak(F.element_at("headers", F.lit("etag"))), _weak(F.element_at("stored", F.lit("etag"))))
+    dates = (F.element_at("headers", F.lit("last-modified")), F.element_at("stored", F.lit("last-modified")))
     agree = F.coalesce(tags[0] == tags[1], F.trim(dates[0]) == F.trim(dates[1]))
     outcome = (
         F.when(F.col("ref_rid").isNull(), "unresolved").when(agree.isNull(), "unvalidated").when(agree, "resolved").otherwise("mismatch")
     )
-    news = F.map_filter("_headers", lambda k, v: k.isin(*PERMITTED))
-    merged = F.map_concat(F.map_filter("_stored", lambda k, v: ~F.map_contains_key(news, k)), news)
+    news = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
+    merged = F.map_concat(F.map_filter("stored", lambda k, v: ~F.map_contains_key(news, k)), news)
     whole = F.col("outcome").isin("resolved", "unvalidated")
     answered = (
         joined.withColumn("outcome", outcome)
         .withColumn("refers_to", F.when(whole, F.col("ref_rid")))
-        .withColumn("merged_headers", F.when(whole, merged).otherwise(F.col("_headers")))
-        .withColumn("merged_body", F.when(whole, F.col("_body")).otherwise(F.col("body")))
-        .select(*keep, *added)
+        .withColumn("merged_headers", F.when(whole, merged).otherwise(F.col("headers")))
+        .withColumn("merged_body", F.when(whole, F.col("body")).otherwise(F.col("row.body")))
+        .select("row.*", *added)
     )
     rest = rows.where(~asked).select(
-        *keep, "canonical_url", F.lit(None).cast("string").alias("refers_to"),
-        F.when(F.col("warc_type") == "response", "response").otherwise("other").alias("outcome"),
-        F.col("_headers").alias("merged_headers"), F.col("body").alias("merged_body"),
+        "row.*", "canonical_url", F.lit(None).cast("string").alias("refers_to"),
+        F.when(F.col("row.warc_type") == "response", "response").otherwise("other").alias("outcome"),
+        F.col("headers").alias("merged_headers"), F.col("row.body").alias("merged_body"),
     )
     return rest.unionByName(answered)
 
