@@ -16,15 +16,19 @@ P against U gives the density ratio p(x | 1) / p(x), which is 1 / pi wherever te
 are certainly positive, so pi is the inverse of its median over P. Negative labels are
 not used.
 
-Features of all texts of U are written once, 22 figures a text. Their moments, the
-density ratio behind the prior and the output layer, whose risk is convex, are fitted on
-all of them by Newton steps: a pass sums loss, gradient and Hessian by task. A bounded
-sample serves only to start: the hidden layer is fitted on about ``MAX_FIT`` texts of U and
-the labelled texts P, of which about ``MAX_FIT`` at most are taken, by a hash of id and text.
+Features of all texts of U are written once, 22 figures a text, and everything that is
+fitted minimises the risk over all of them: their moments; the density ratio behind the prior,
+by Newton steps; both layers together, by a quasi-Newton descent. A pass sums loss and
+derivatives by task. Sums of the descent are of whole numbers (multiples of 2^-30), so they do not
+depend on how rows are dealt to tasks. Only the labelled texts P are bounded: about
+``MAX_FIT`` of them at most are taken, by a hash of id and text. As many texts of U give
+the descent its first point, no more. A fit that does not converge within its
+passes says so in a warning and in ``Model.converged``.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +46,9 @@ STEPS = 1500
 BATCH = 1024
 SEED = 20
 WINDOW = 50
-PASSES = 8
+PASSES = 50
+DESCENT = 60
+TOLERANCE = 1e-5
 
 N_FEATURES = 22
 _SYMBOLS = "%&#$*@^~<>{}[]\\/=+_"
@@ -118,6 +124,8 @@ class Model:
     w2: np.ndarray
     b2: float
     prior: float
+    passes: int = 0
+    converged: bool = True
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
@@ -246,24 +254,111 @@ def _newton(figures: DataFrame, basis, w: np.ndarray, share: float, positives, r
     """The ``w`` that minimises ``share`` times the mean over all rows of log(1 + exp(g)) plus what ``positives`` adds.
 
     ``positives(w, mean)`` gives value, gradient and Hessian of the part of P, and whether ``w`` may be
-    taken, given that mean. A step that raises the sum or may not be taken is halved; ``PASSES`` passes at most.
+    taken, given that mean. A step that raises the sum or may not be taken is halved. Returns ``w`` and whether
+    it has converged within ``PASSES`` passes.
     """
-    best, step = None, np.zeros_like(w)
+    best, step, done = None, np.zeros_like(w), False
     for _ in range(PASSES):
         mean, gradient, hessian = _sums(figures, basis, w + step)
         value, g, h, allowed = positives(w + step, mean)
         value += share * mean + ridge / 2 * float((w + step) @ (w + step))
         if best is None and not allowed:
-            return w
+            return w, True  # the start already lies on the bound
         if best is not None and (not allowed or value > best):
             step = step / 2
+            if np.abs(step).max() < 1e-9:
+                done = True
+                break
             continue
         w, done = w + step, best is not None and best - value < 1e-7
         best = value
         if done:
             break
         step = -np.linalg.solve(share * hessian + h + ridge * np.eye(len(w)), share * gradient + g + ridge * w)
-    return np.round(w, 9)
+    return np.round(w, 9), done
+
+
+def _unpack(theta: np.ndarray, d: int = N_FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    cut = d * HIDDEN
+    return theta[:cut].reshape(d, HIDDEN), theta[cut : cut + HIDDEN], theta[cut + HIDDEN : -1], float(theta[-1])
+
+
+def _outputs(z: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden layer and g of every row; a row's values do not depend on the rows beside it."""
+    w1, b1, w2, b2 = _unpack(theta)
+    h = np.tanh(np.einsum("nd,dh->nh", z, w1) + b1)
+    return h, np.einsum("nh,h->n", h, w2) + b2
+
+
+def _gradients(z: np.ndarray, h: np.ndarray, by: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """The gradient of every row's loss in ``theta``, given its derivative by g."""
+    inner = (by[:, None] * _unpack(theta)[2]) * (1 - h**2)
+    return np.c_[(z[:, :, None] * inner[:, None, :]).reshape(len(z), -1), inner, by[:, None] * h, by]
+
+
+_UNIT = 2.0**30
+
+
+def _network_sums(figures: DataFrame, plain, theta: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean over all rows of log(1 + exp(g)) and its gradient in ``theta``, from sums of whole numbers."""
+
+    def run(batches):
+        total = np.zeros(2 + len(theta), dtype=np.int64)
+        for pdf in batches:
+            for k in range(0, len(pdf), 2048):
+                z = plain(np.stack(pdf["x"].to_numpy()[k : k + 2048]).astype(np.float64))[:, :-1]
+                h, g = _outputs(z, theta)
+                parts = np.c_[np.logaddexp(0, g), _gradients(z, h, _sigmoid(g), theta)]
+                total += np.r_[len(z), np.rint(parts * _UNIT).astype(np.int64).sum(0)]
+        yield pd.DataFrame({"cell": np.arange(len(total), dtype=np.int32), "v": total})
+
+    summed = figures.select("x").mapInPandas(run, "cell int, v long").groupBy("cell").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"))
+    got = np.zeros(2 + len(theta))
+    for r in summed.collect():  # a row a weight
+        got[r.cell] = float(r.v)
+    got[1:] /= _UNIT * max(1.0, got[0])
+    return got[1], got[2:]
+
+
+def _descend(objective, theta: np.ndarray, memory: int = 10) -> tuple[np.ndarray, int, bool]:
+    """L-BFGS with halved steps: the point reached, the passes used and whether it has converged.
+
+    ``objective(theta)`` gives value, gradient and whether the point may be taken.
+    """
+    value, gradient, allowed = objective(theta)
+    passes, pairs = 1, []
+    if not allowed:
+        return theta, passes, True
+    while passes < DESCENT:
+        q, used = gradient.copy(), []
+        for s, y in reversed(pairs):
+            a = (s @ q) / (s @ y)
+            used.append(a)
+            q -= a * y
+        if pairs:
+            s, y = pairs[-1]
+            q *= (s @ y) / (y @ y)
+        else:
+            q /= max(1.0, np.linalg.norm(q))
+        for (s, y), a in zip(pairs, reversed(used), strict=True):
+            q += s * (a - (y @ q) / (s @ y))
+        slope, size, moved = -(gradient @ q), 1.0, False
+        while passes < DESCENT and size > 1e-4:
+            new_value, new_gradient, allowed = objective(theta - size * q)
+            passes += 1
+            if allowed and new_value <= value + 1e-4 * size * slope:
+                moved = True
+                break
+            size /= 2
+        if not moved:
+            return theta, passes, size <= 1e-4
+        step, change, gain = -size * q, new_gradient - gradient, value - new_value
+        if step @ change > 1e-12:
+            pairs = [*pairs, (step, change)][-memory:]
+        theta, value, gradient = theta + step, new_value, new_gradient
+        if gain < TOLERANCE * max(1.0, abs(value)):
+            return theta, passes, True
+    return theta, passes, False
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit: int = MAX_FIT) -> Model:
@@ -272,7 +367,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit
     Labels other than 0 and 1 and rows without id or text are left out; an id
     labelled both ways is no positive. Repeated rows of U count as often as they stand.
     Without any usable positive the model is the prior alone and scores every text alike.
-    A Newton step that would turn the risk's second part negative is not taken.
+    A step of the descent that would turn the risk's second part negative is not taken.
     """
     known = (
         labels.select("doc_id", F.col(label).alias("y"))
@@ -304,21 +399,27 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_fit
     u = _sample(figures, max_fit).astype(np.float64)
     u = u[np.lexsort(u.T)]
     start = _ratio_weights(z[:, :-1], plain(u)[:, :-1])
-    prior = round(_prior(z[:, :-1], _newton(figures, plain, start, 0.5, ratio, 1e-3)), 6)
-    model = fit(p, u, prior, moments=moments)
-
-    def hidden(x):
-        return np.c_[np.tanh(plain(x)[:, :-1] @ model.w1 + model.b1), np.ones(len(x))]
-
-    k = hidden(p)
-
-    def risk(w, mean):
-        g = k @ w
-        return -prior * g.mean(), -prior * k.mean(0), 0.0, mean >= prior * np.logaddexp(0, g).mean()
+    weights, sure = _newton(figures, plain, start, 0.5, ratio, 1e-3)
+    prior = round(_prior(z[:, :-1], weights), 6)
+    first = fit(p, u, prior, moments=moments)
+    known_z = z[:, :-1]
+
+    def both_layers(theta):
+        mean, gradient = _network_sums(figures, plain, theta)
+        h, g = _outputs(known_z, theta)
+        pull = _gradients(known_z, h, np.full(len(g), 1 / len(g)), theta).sum(0)
+        value = mean - prior * g.mean() + 0.5e-4 * float(theta @ theta)
+        return value, gradient - prior * pull + 1e-4 * theta, mean >= prior * np.logaddexp(0, g).mean()
+
+    theta, passes, settled = _descend(both_layers, np.r_[first.w1.ravel(), first.b1, first.w2, first.b2])
+    theta = np.round(theta, 9)
+    w1, b1, w2, b2 = _unpack(theta)
 
-    w = _newton(figures, hidden, np.r_[model.w2, model.b2], 1.0, risk, 1e-4)
     scratch.drop("figures")
-    return Model(mean, scale, model.w1, model.b1, w[:-1], float(w[-1]), prior)
+    model = Model(mean, scale, w1, b1, w2, b2, prior, passes, sure and settled)
+    if not model.converged:
+        warnings.warn(f"the classifier has not converged: prior {sure}, layers {settled} after {passes} passes", stacklevel=2)
+    return model
 
 
 def score(text: Column, model: Model) -> Column:

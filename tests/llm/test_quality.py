@@ -33,6 +33,7 @@ def test_held_out_accuracy(corpus):
     assert len(held) > 150 and np.mean(held) > 0.97
     again = Q.train(docs.repartition(7), labels)
     assert np.array_equal(again.w1, model.w1)
+    assert model.converged and model.passes > 1
 
 
 def test_positives_alone(corpus):
@@ -70,12 +71,13 @@ def test_newton_over_all_rows_equals_a_dense_fit(spark):
         s = Q._sigmoid(-(z @ w))
         return 0.5 * np.logaddexp(0, -(z @ w)).mean(), -0.5 * (s @ z) / len(z), 0.5 * (z * (s * (1 - s))[:, None]).T @ z / len(z), True
 
-    got = Q._newton(figures.repartition(5), plain, np.zeros(z.shape[1]), 0.5, part, 1e-3)
+    got, done = Q._newton(figures.repartition(5), plain, np.zeros(z.shape[1]), 0.5, part, 1e-3)
+    assert done
     w = np.zeros(z.shape[1])
     for _ in range(20_000):  # brute force: plain descent on the same sum
         w -= 0.5 * (0.5 * (Q._sigmoid(every @ w) @ every) / len(every) - 0.5 * (Q._sigmoid(-(z @ w)) @ z) / len(z) + 1e-3 * w)
     assert np.allclose(got, w, atol=1e-4)
-    refused = Q._newton(figures, plain, w, 0.5, lambda w, _: (*part(w, _)[:3], False), 1e-3)
+    refused, _ = Q._newton(figures, plain, w, 0.5, lambda w, _: (*part(w, _)[:3], False), 1e-3)
     assert np.array_equal(refused, w)
 
 
@@ -85,3 +87,44 @@ def test_all_moments(spark):
     figures = spark.createDataFrame([(i, i, x.tolist()) for i, x in enumerate(u)], "doc_id long, h long, x array<float>")
     mean, scale = Q._all_moments(figures.repartition(3))
     assert np.allclose(mean, u.mean(0), atol=1e-5) and np.allclose(scale, u.std(0), atol=1e-5)
+
+
+def test_descent_over_all_rows_equals_a_dense_one(spark):
+    rng = np.random.default_rng(6)
+    p = rng.normal(0.8, 1, (200, Q.N_FEATURES))
+    u = np.vstack([rng.normal(0.8, 1, (700, Q.N_FEATURES)), rng.normal(-0.6, 1.5, (500, Q.N_FEATURES))]).astype(np.float32)
+    figures = spark.createDataFrame([(i, i, x.tolist()) for i, x in enumerate(u)], "doc_id long, h long, x array<float>")
+    theta = rng.normal(0, 0.3, Q.N_FEATURES * Q.HIDDEN + 2 * Q.HIDDEN + 1)
+    plain = lambda x: np.c_[x, np.ones(len(x))]
+    prior, every = 0.55, u.astype(np.float64)
+
+    def value(t):  # brute force: the risk over all rows, written out
+        w1, b1, w2, b2 = Q._unpack(t)
+        g = lambda x: np.tanh(x @ w1 + b1) @ w2 + b2
+        return -prior * g(p).mean() + np.logaddexp(0, g(every)).mean() + 0.5e-4 * float(t @ t)
+
+    def objective(sums):
+        def at(t):
+            mean, gradient = sums(t)
+            h, g = Q._outputs(p, t)
+            pull = Q._gradients(p, h, np.full(len(g), 1 / len(g)), t).sum(0)
+            return mean - prior * g.mean() + 0.5e-4 * float(t @ t), gradient - prior * pull + 1e-4 * t, mean >= prior * np.logaddexp(0, g).mean()
+
+        return at
+
+    def dense(t):
+        h, g = Q._outputs(every, t)
+        return np.logaddexp(0, g).mean(), Q._gradients(every, h, Q._sigmoid(g), t).mean(0)
+
+    got = objective(lambda t: Q._network_sums(figures, plain, t))(theta)
+    assert abs(got[0] - value(theta)) < 1e-7
+    for i in rng.integers(0, len(theta), 12):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5
+        assert abs((value(theta + step) - value(theta - step)) / 2e-5 - got[1][i]) < 1e-6
+    one, passes, done = Q._descend(objective(lambda t: Q._network_sums(figures, plain, t)), theta)
+    two, _, _ = Q._descend(objective(dense), theta)
+    assert done and passes > 3 and value(one) < value(theta)
+    assert np.allclose(Q._outputs(every, one)[1], Q._outputs(every, two)[1], atol=1e-3)
+    again, _, _ = Q._descend(objective(lambda t: Q._network_sums(figures.repartition(7), plain, t)), theta)
+    assert np.array_equal(one, again)
