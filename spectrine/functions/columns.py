@@ -6,6 +6,7 @@ array lambdas value by value; everything else stays in the JVM.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .kernels import savgol_matrix
+
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row."""
@@ -94,6 +97,21 @@ def linear(x: Column, matrix: np.ndarray, offset: np.ndarray | None = None) -> C
     return _row_wise(kernel)(x)
 
 
+def savgol(x: Column, *params) -> Column:
+    """A filter by its parameters, for spectra of any width; the matrix of a width is made once a worker."""
+
+    def kernel(block: np.ndarray) -> np.ndarray:
+        matrix, offset = _filter(block.shape[1], params)
+        return block @ matrix.T + offset
+
+    return _row_wise(kernel)(x)
+
+
+@functools.lru_cache(maxsize=32)
+def _filter(width: int, params: tuple) -> tuple[np.ndarray, np.ndarray]:
+    return savgol_matrix(width, *params)
+
+
 def all_finite(x: Column) -> Column:
     """No null, NaN or infinity; false for a null array."""
     return F.coalesce(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil, factorial
 
@@ -125,27 +126,40 @@ def pls_from_moments(n: float, sx, sy: float, sxx, sxy, syy: float, k_max: int)
     remains to be explained, the last model is repeated.
     """
     sx, sxx, sxy = np.asarray(sx, float), np.asarray(sxx, float), np.asarray(sxy, float)
-    width = len(sx)
-    if k_max < 1 or k_max > min(n - 1, width):
-        raise DataError(f"n_components {k_max} must lie between 1 and {int(min(n - 1, width))}")
-    x_mean, y_mean = sx / n, sy / n
+    x_mean, y_mean, x_std, y_std = centres(n, sx, sy, np.diag(sxx), syy, k_max)
     cov = sxx - n * np.outer(x_mean, x_mean)
-    cross = sxy - n * x_mean * y_mean
-    x_std = np.sqrt(np.maximum(np.diag(cov), 0) / n)
+    c, s = cov / np.outer(x_std, x_std), (sxy - n * x_mean * y_mean) / (x_std * y_std)
+    return [PlsModel(k, y_std * beta / x_std, x_mean, float(y_mean)) for k, beta in enumerate(pls_slopes(s, lambda r: c @ r, k_max), 1)]
+
+
+def centres(n: float, sx: np.ndarray, sy: float, squares: np.ndarray, syy: float, k_max: int) -> tuple[np.ndarray, float, np.ndarray, float]:
+    """Means and population deviations of columns and target from their sums; 1 where there is no spread."""
+    if k_max < 1 or k_max > min(n - 1, len(sx)):
+        raise DataError(f"n_components {k_max} must lie between 1 and {int(min(n - 1, len(sx)))}")
+    x_mean, y_mean = sx / n, sy / n
+    x_std = np.sqrt(np.maximum(squares - n * x_mean**2, 0) / n)
     y_std = np.sqrt(max(syy - n * y_mean**2, 0) / n)
     x_std[x_std <= 1e-12 * np.maximum(1.0, np.abs(x_mean))] = 1.0
-    y_std = y_std if y_std > 1e-12 * max(1.0, abs(y_mean)) else 1.0
-    c, s = cov / np.outer(x_std, x_std), cross / (x_std * y_std)
-    start = np.linalg.norm(s)
-    rotations, loadings, models = [], [], []
-    beta = np.zeros(width)
-    for k in range(1, k_max + 1):
+    return x_mean, y_mean, x_std, y_std if y_std > 1e-12 * max(1.0, abs(y_mean)) else 1.0
+
+
+def pls_slopes(s: np.ndarray, times: Callable[[np.ndarray], np.ndarray], k_max: int) -> Iterator[np.ndarray]:
+    """Slopes of the models with 1..k_max components in scaled columns.
+
+    ``s`` is the covariance of the columns with the target; ``times(r)`` is the columns'
+    covariance matrix times r, which nothing else needs: it may come from a stored matrix or
+    from a pass over the rows.
+    """
+    s, start = s.copy(), np.linalg.norm(s)
+    rotations, loadings = [], []
+    beta = np.zeros(len(s))
+    for _ in range(k_max):
         size = np.linalg.norm(s)
         if size > 1e-12 * max(1.0, start):
             r = s / size
             for p, before in zip(loadings, rotations, strict=True):
                 r = r - (p @ (s / size)) * before
-            cr = c @ r
+            cr = times(r)
             tau = r @ cr
             if tau > 0:
                 p, q = cr / tau, (r @ s) / tau
@@ -153,5 +167,4 @@ def pls_from_moments(n: float, sx, sy: float, sxx, sxy, syy: float, k_max: int)
                 rotations.append(r)
                 loadings.append(p)
                 beta = beta + r * q
-        models.append(PlsModel(k, y_std * beta / x_std, x_mean, float(y_mean)))
-    return models
+        yield beta

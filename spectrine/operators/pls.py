@@ -3,12 +3,15 @@
 The pass computes the moments of [1 | x | y]: each batch is one matrix product, each
 partition one partial sum, and partial sums are added by a distributed aggregation
 of (p + 2)^2 cells. A short recurrence on the driver then gives the models of all
-component counts at once, so a sweep costs no further pass.
+component counts at once, so a sweep costs no further pass. Spectra too wide for such a
+table are fitted without it, with a pass a component; a training loss other than least
+squares takes a weighted pass a step.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,28 +20,29 @@ from pyspark.sql import functions as F
 
 from ..errors import DataError
 from ..functions.columns import dot, doubles
-from ..functions.kernels import PlsModel, pls_from_moments
+from ..functions.kernels import PlsModel, centres, pls_from_moments, pls_slopes
+from ..functions.losses import Loss
 
 MAX_WIDTH = 4_000
 
 
-def moments(df: DataFrame, width: int, *, spectrum: str = "spectrum", target: str = "target") -> np.ndarray:
-    """Sum of outer products of (1, x - shift, y - shift) and, in the last row, the shift that was used.
+def _cells(df: DataFrame, spectrum: str, target: str) -> tuple[DataFrame, np.ndarray]:
+    """(x, y) of every row, and the first row's values, by which sums are shifted.
 
-    The shift is the first row's values: it keeps sums well conditioned when means
-    are large against deviations.
+    The shift keeps sums well conditioned when means are large against deviations.
     """
-    if width > MAX_WIDTH:
-        raise DataError(f"{width} columns; moments are kept for at most {MAX_WIDTH}")
     cells = df.select(doubles(F.col(spectrum)).alias("x"), F.col(target).cast("double").alias("y"))
     pilot = cells.first()
     if pilot is None:
         raise DataError("no rows to fit")
-    shift = np.r_[np.asarray(pilot.x, float), np.nan if pilot.y is None else float(pilot.y)]
-    size = width + 2
+    return cells, np.r_[np.asarray(pilot.x, float), np.nan if pilot.y is None else float(pilot.y)]
+
+
+def _sums(cells: DataFrame, width: int, size: int, of_batch: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all batches of ``of_batch(x, y)``, ``size`` numbers: one partial sum a task, then a distributed one."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size))
+        total = np.zeros(size)
         for batch in batches:
             x, y = batch.column(0), batch.column(1)
             if not len(y):
@@ -46,19 +50,35 @@ def moments(df: DataFrame, width: int, *, spectrum: str = "spectrum", target: st
             values = x.flatten().to_numpy(zero_copy_only=False)
             if x.null_count or len(values) != len(y) * width:
                 raise ValueError(f"spectra must all have {width} values")
-            z = np.empty((len(y), size))
-            z[:, 0] = 1.0
-            z[:, 1:-1] = values.reshape(-1, width) - shift[:-1]
-            z[:, -1] = y.to_numpy(zero_copy_only=False) - shift[-1]
-            total += z.T @ z
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["m"])
-
-    sums = (
-        cells.mapInArrow(partial, "m array<double>").select(F.posexplode("m").alias("cell", "v")).groupBy("cell").agg(F.sum("v").alias("v"))
-    )
-    out = np.zeros(size * size)
-    for row in sums.collect():  # (p + 2)^2 cells, whatever the number of rows
+            total += of_batch(values.reshape(-1, width), y.to_numpy(zero_copy_only=False).astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["m"])
+
+    sums = cells.mapInArrow(partial, "m array<double>").select(F.posexplode("m").alias("cell", "v")).groupBy("cell").agg(F.sum("v").alias("v"))
+    out = np.zeros(size)
+    for row in sums.collect():  # ``size`` rows, whatever the number of rows summed
         out[row.cell] = row.v
+    return out
+
+
+def moments(df: DataFrame, width: int, *, spectrum: str = "spectrum", target: str = "target", weigh: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """Sum of outer products of (1, x - shift, y - shift) and, in the last row, the shift that was used.
+
+    ``weigh(x, y)`` gives the weight of each row of a batch; without it all weigh 1.
+    """
+    if width > MAX_WIDTH:
+        raise DataError(f"{width} columns; moments are kept for at most {MAX_WIDTH}")
+    cells, shift = _cells(df, spectrum, target)
+    size = width + 2
+
+    def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        z = np.empty((len(y), size))
+        z[:, 0] = 1.0
+        z[:, 1:-1] = x - shift[:-1]
+        z[:, -1] = y - shift[-1]
+        left = z if weigh is None else z * weigh(x, y)[:, None]
+        return (left.T @ z).ravel()
+
+    out = _sums(cells, width, size * size, products)
     return np.vstack([out.reshape(size, size), np.r_[0.0, shift]])
 
 
@@ -68,19 +88,104 @@ def models_from_moments(m: np.ndarray, k_max: int) -> list[PlsModel]:
     return [PlsModel(s.n_components, s.coefficients, s.x_mean + shift[:-1], s.y_mean + float(shift[-1])) for s in shifted]
 
 
+def _width(df: DataFrame, spectrum: str, width: int | None) -> int:
+    if width is not None:
+        return width
+    first = df.select(F.size(spectrum).alias("w")).first()
+    if first is None:
+        raise DataError("no rows to fit")
+    return first.w
+
+
 def fit(df: DataFrame, k_max: int, *, spectrum: str = "spectrum", target: str = "target", width: int | None = None) -> list[PlsModel]:
-    """Models with 1..k_max components. Nulls and values that are not finite are an error."""
-    if width is None:
-        first = df.select(F.size(spectrum).alias("w")).first()
-        if first is None:
-            raise DataError("no rows to fit")
-        width = first.w
+    """Models with 1..k_max components. Nulls and values that are not finite are an error.
+
+    Up to ``MAX_WIDTH`` columns one pass sums the moments; wider spectra take :func:`fit_wide`.
+    """
+    width = _width(df, spectrum, width)
+    if width > MAX_WIDTH:
+        return fit_wide(df, k_max, spectrum=spectrum, target=target, width=width)
     sums = moments(df, width, spectrum=spectrum, target=target)
     if not np.isfinite(sums).all():
         raise DataError("a spectrum or target is null or not finite")
     return models_from_moments(sums, k_max)
 
 
+def fit_wide(df: DataFrame, k_max: int, *, spectrum: str = "spectrum", target: str = "target", width: int | None = None) -> list[PlsModel]:
+    """The same models without a table of width^2 cells: memory and shuffle grow with the width alone.
+
+    The recurrence needs the covariance matrix only as a factor of vectors. One pass
+    sums the columns, their squares and their products with the target; each component
+    then takes a pass that sums x (x . r). Passes read the rows again, so persist ``df`` where it is dear.
+    """
+    width = _width(df, spectrum, width)
+    cells, shift = _cells(df, spectrum, target)
+
+    def columns(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        x, y = x - shift[:-1], y - shift[-1]
+        return np.r_[len(y), y.sum(), y @ y, x.sum(0), np.einsum("ij,ij->j", x, x), y @ x]
+
+    sums = _sums(cells, width, 3 + 3 * width, columns)
+    if not np.isfinite(sums).all():
+        raise DataError("a spectrum or target is null or not finite")
+    n, sy, syy = sums[:3]
+    sx, sxx, sxy = sums[3:].reshape(3, width)
+    x_mean, y_mean, x_std, y_std = centres(n, sx, sy, sxx, syy, k_max)
+    s = (sxy - n * x_mean * y_mean) / (x_std * y_std)
+    middle = x_mean + shift[:-1]
+
+    def times(r: np.ndarray) -> np.ndarray:
+        v = r / x_std
+
+        def products(x: np.ndarray, _: np.ndarray) -> np.ndarray:
+            centred = x - middle
+            return centred.T @ (centred @ v)
+
+        return _sums(cells, width, width, products) / x_std
+
+    slopes = pls_slopes(s, times, k_max)
+    return [PlsModel(k, y_std * beta / x_std, middle, float(y_mean + shift[-1])) for k, beta in enumerate(slopes, 1)]
+
+
+@dataclass(frozen=True)
+class Reweighted:
+    """A model fitted under a loss: passes used, and whether its slopes have settled."""
+
+    model: PlsModel
+    passes: int
+    converged: bool
+
+
+def fit_reweighted(
+    df: DataFrame, k: int, loss: Loss, *, spectrum: str = "spectrum", target: str = "target", width: int | None = None, passes: int = 50, tolerance: float = 1e-9
+) -> Reweighted:
+    """A model of ``k`` components under a training loss, by repeated weighted fits.
+
+    It starts from the least-squares model. Each pass weighs a row by the loss's weight
+    of its residual under the model before, where it is read, and sums the weighted
+    moments; nothing is stored for a row. It ends when no prediction coefficient moves by more than
+    ``tolerance`` of the largest.
+    """
+    width = _width(df, spectrum, width)
+    if passes < 1:
+        raise DataError("a fit needs a pass")
+    model = fit(df, k, spectrum=spectrum, target=target, width=width)[k - 1]
+    for used in range(1, passes + 1):
+        slopes, intercept = model.coefficients, model.intercept
+
+        def weigh(x: np.ndarray, y: np.ndarray, slopes=slopes, intercept=intercept) -> np.ndarray:
+            return loss.weight(y - (x @ slopes + intercept))
+
+        sums = moments(df, width, spectrum=spectrum, target=target, weigh=weigh)
+        if not np.isfinite(sums).all() or sums[0, 0] <= 0:
+            raise DataError(f"the weights of loss {loss.name} leave nothing to fit")
+        model = models_from_moments(sums, k)[k - 1]
+        moved = max(np.abs(model.coefficients - slopes).max(), abs(model.intercept - intercept))
+        if moved <= tolerance * max(np.abs(slopes).max(), abs(intercept), 1e-300):
+            return Reweighted(model, used, True)
+    return Reweighted(model, passes, False)
+
+
 def predict(spectrum: Column, model: PlsModel) -> Column:
     """Affine prediction; a spectrum of another width is an error."""
     width = len(model.coefficients)

@@ -7,7 +7,6 @@ import json
 import os
 import struct
 import tempfile
-from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
@@ -19,11 +18,14 @@ from pyspark.sql import functions as F
 from ..errors import DataError, SessionClosed, SpectrineError, UnsupportedCapability
 from ..functions.columns import doubles, linear, snv
 from ..functions.kernels import PlsModel, savgol_matrix
+from ..functions.metrics import evaluate, register_metric
 from ..operators import pls
 from ..operators.matrix import require_rectangular
 from ..operators.split import identity_split, kennard_stone_split
 from .definition import Definition, Plan, compile_plan, load
 
+__all__ = ["Model", "Result", "Session", "evaluate", "preflight", "publish", "register_metric", "run", "stable_hash"]
+
 SESSION_SCHEMA = "spectrine.session.v1"
 SESSION_BYTES = 64 * 1024 * 1024
 
@@ -268,24 +270,3 @@ def preflight(spark: SparkSession, model: Model) -> float:
     if got is None or not np.isfinite(got):
         raise SpectrineError("the model does not predict a finite value")
     return got
-
-
-_METRICS: dict[str, Callable[[Column, Column], Column]] = {}
-
-
-def register_metric(name: str, metric: Callable[[Column, Column], Column]) -> None:
-    """Register an aggregate over (target, prediction) columns under ``name``."""
-    _METRICS[name] = metric
-
-
-register_metric("rmse", lambda y, p: F.sqrt(F.avg(F.pow(p - y, F.lit(2)))))
-register_metric("mae", lambda y, p: F.avg(F.abs(p - y)))
-register_metric("bias", lambda y, p: F.avg(p - y))
-
-
-def evaluate(predictions: DataFrame, *names: str) -> DataFrame:
-    """(variant_idx, one column a metric)."""
-    unknown = [n for n in names if n not in _METRICS]
-    if unknown:
-        raise UnsupportedCapability(f"no metric {', '.join(unknown)}")
-    return predictions.groupBy("variant_idx").agg(*[_METRICS[n](F.col("target"), F.col("prediction")).alias(n) for n in names])

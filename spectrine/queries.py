@@ -7,19 +7,25 @@ in long form and rounded to six places, since sums of floats depend on their ord
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog, oracles
+from . import catalog, ml, oracles
 from .functions import columns as C
 from .functions.kernels import MODES
 from .functions.kernels import savgol_matrix
+from .functions.losses import bind_training_loss
+from .functions.metrics import metric_sql
 from .operators import audit, matrix, pls, split
 from .oracles import SPECTRA, query, r6
 from .plans.definition import component_counts
 from .plans.runner import Model, run
+from .shared import shared_dir
 from .sources import archive, datasets
 
 WIDTH = 64
@@ -289,6 +295,67 @@ def model_replay(spark, sf_dir):
     return model.transform(df).select("sample_id", rounded("prediction"))
 
 
+def _fitted_stages(spark, sf_dir, name: str) -> DataFrame:
+    """Stages fitted, saved, loaded again and applied."""
+    df = spectra(spark, sf_dir)
+    path = f"{shared_dir(spark)}/spectrine/stages-{uuid.uuid4().hex}"
+    ml.pipeline_of(DEFINITIONS[name]).fit(df).write().save(path)
+    out = PipelineModel.load(path).transform(df)
+    return (out.where("partition = 'test'") if "partition" in out.columns else out).select("sample_id", rounded("target"), rounded("prediction"))
+
+
+for _name in ("ks_snv_pls", "savgol_pls"):
+    register(f"stages_{_name}", query(_SOURCES[_name], f"SELECT i AS sample_id, {r6('y')} AS target, {r6('p')} AS prediction FROM pred4", recursive="ks" in _name))(
+        lambda spark, sf_dir, n=_name: _fitted_stages(spark, sf_dir, n)
+    )
+
+
+@register("pls_wide_k4", query((*SPECTRA, *oracles.pls("l", 4)), f"SELECT i AS sample_id, {r6('y')} AS target, {r6('p')} AS prediction FROM pred4"))
+def pls_wide_k4(spark, sf_dir):
+    """The fit that keeps no table of moments, a pass a component."""
+    df = spectra(spark, sf_dir)
+    return pls.predict_all(df, pls.fit_wide(df, 4)[3:]).select("sample_id", rounded("target"), rounded("prediction"))
+
+
+@register("huber_weights", query((*SPECTRA, *oracles.pls("l", 2)), f"SELECT i AS sample_id, {r6('2 / greatest(abs(y - p), 2)')} AS weight, {r6('CASE WHEN abs(y - p) <= 2 THEN (y - p) * (y - p) / 2 ELSE 2 * (abs(y - p) - 1) END')} AS loss FROM pred2"))
+def huber_weights(spark, sf_dir):
+    """The weights of the first step of a fit under a loss, and what each row costs."""
+    loss = bind_training_loss("huber", delta=2.0)
+
+    def weigh(batches):
+        for batch in batches:
+            r = batch.column(1).to_numpy() - batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(loss.weight(r)), pa.array(loss(r))], ["sample_id", "weight", "loss"])
+
+    out = _predictions(spark, sf_dir, 2).select("sample_id", "target", "prediction").mapInArrow(weigh, "sample_id long, weight double, loss double")
+    return out.select("sample_id", rounded("weight"), rounded("loss"))
+
+
+@register("pls_huber")
+def pls_huber(spark, sf_dir):
+    """Predictions of the model of two components under the Huber loss."""
+    df = spectra(spark, sf_dir)
+    fitted = pls.fit_reweighted(df, 2, bind_training_loss("huber", delta=2.0))
+    return pls.predict_all(df, [fitted.model]).select("sample_id", rounded("target"), rounded("prediction"))
+
+
+_BY_TARGET = ", ".join(
+    f"{r6(sql)} AS {name}"
+    for name, sql in (
+        ("rmse", "sqrt(avg((p - y) ** 2))"), ("mae", "avg(abs(p - y))"), ("bias", "avg(p - y)"), ("sep", "stddev_pop(p - y)"),
+        ("r2", "1 - avg((p - y) ** 2) / var_pop(y)"),
+    )
+)
+
+
+@register("metrics_sql", query((*SPECTRA, *oracles.pls("l", 2)), f"SELECT i % 7 AS part, count(*) AS n, {_BY_TARGET} FROM pred2 GROUP BY i % 7"))
+def metrics_sql(spark, sf_dir):
+    """Registered metrics inside SQL text, over the parts of a run."""
+    _predictions(spark, sf_dir, 2).createOrReplaceTempView("predictions_of_metrics_sql")
+    parts = ", ".join(f"round({metric_sql(name)}, 6) + 0D AS {name}" for name in ("rmse", "mae", "bias", "sep", "r2"))
+    return spark.sql(f"SELECT sample_id % 7 AS part, count(*) AS n, {parts} FROM predictions_of_metrics_sql GROUP BY sample_id % 7")
+
+
 # --- audit ------------------------------------------------------------------------------------
 
 
