@@ -61,6 +61,60 @@ def savgol_matrix(
     return matrix, offset
 
 
+def squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of paired rows, by differences, so that large offsets do not cancel."""
+    return ((x - y) ** 2).sum(-1)
+
+
+def screened(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances of all rows of ``x`` to all of ``y``, as one product, and how far they may be off.
+
+    Both must be centred alike.
+    """
+    a, b = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
+    slack = 1e-13 * x.shape[1] * float(a.max(initial=0) + b.max(initial=0)) + 1e-300
+    return a[:, None] + b[None, :] - 2 * x @ y.T, slack
+
+
+def farthest(x: np.ndarray, y: np.ndarray, apart: np.ndarray | None = None, least: float = -1.0) -> tuple[float, int, int, bool] | None:
+    """(squared distance, row of x, row of y, whether others equal it) of the farthest pair, the first of equal ones.
+
+    None if all pairs are nearer than ``least``.
+
+    ``apart`` marks pairs that count. Products choose, differences decide.
+    """
+    best, step = None, max(1, 2_000_000 // max(1, len(y)))
+    for k in range(0, len(x), step):
+        near, slack = screened(x[k : k + step], y)
+        if apart is not None:
+            near = np.where(apart[k : k + step], near, -np.inf)
+        bound = max(near.max(initial=-np.inf), least if best is None else best[0]) - slack
+        rows, columns = np.nonzero(near >= bound)
+        for c in range(0, len(rows), 500_000):
+            i, j = rows[c : c + 500_000] + k, columns[c : c + 500_000]
+            d = squares(x[i], y[j])
+            at = int(np.argmax(d))
+            equal = int((d == d[at]).sum()) > 1
+            if d[at] >= least and (best is None or d[at] > best[0]):
+                best = (float(d[at]), int(i[at]), int(j[at]), equal)
+            elif best is not None and d[at] == best[0]:
+                best = (*best[:3], True)
+    return best
+
+
+def nearest_squares(x: np.ndarray, chosen: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+    """The smaller of ``nearest`` and each row's squared distance to the nearest row of ``chosen``."""
+    out, step = nearest.copy(), max(1, 2_000_000 // max(1, len(chosen)))
+    for k in range(0, len(x), step):
+        near, slack = screened(x[k : k + step], chosen)
+        low = near.min(1)
+        rows, columns = np.nonzero((near <= (low + 2 * slack)[:, None]) & (low < out[k : k + step] + slack)[:, None])
+        for c in range(0, len(rows), 500_000):
+            i, j = rows[c : c + 500_000] + k, columns[c : c + 500_000]
+            np.minimum.at(out, i, squares(x[i], chosen[j]))
+    return out
+
+
 def kennard_stone(x: np.ndarray, n_train: int) -> np.ndarray:
     """Row numbers in order of selection: the farthest pair, then always the row farthest from those chosen.
 
@@ -70,30 +124,25 @@ def kennard_stone(x: np.ndarray, n_train: int) -> np.ndarray:
     n_train = min(n_train, n)
     if n_train <= 0:
         return np.zeros(0, dtype=np.int64)
-    norms = (x**2).sum(1)
-
-    def square(i: int) -> np.ndarray:
-        return ((x - x[i]) ** 2).sum(1)
-
-    best, pair, step = -1.0, (0, 0), max(1, 4_000_000 // max(1, n))
-    for a in range(0, n, step):
-        block = norms[a : a + step, None] + norms[None, :] - 2 * x[a : a + step] @ x.T
-        i, j = np.unravel_index(np.argmax(block), block.shape)
-        if block[i, j] > best + 1e-12:
-            best, pair = block[i, j], (a + i, j)
-    first, second = sorted(pair)
-    chosen = [first] if n_train == 1 or n == 1 else [first, second]
-    nearest = square(first)
+    if n == 1:
+        return np.zeros(1, dtype=np.int64)
+    x = x - x.mean(0)
+    best, step = (-1.0, 0, 1), max(1, 2_000_000 // n)
+    for a in range(0, n - 1, step):
+        apart = np.arange(a, min(n, a + step))[:, None] < np.arange(n)[None, :]
+        found = farthest(x[a : a + step], x, apart, best[0])
+        if found and found[0] > best[0]:
+            best = (found[0], found[1] + a, found[2])
+    chosen = list(best[1:])[:n_train]
+    nearest = np.min([squares(x, x[i]) for i in chosen], axis=0)
     taken = np.zeros(n, dtype=bool)
     taken[chosen] = True
-    if len(chosen) == 2:
-        nearest = np.minimum(nearest, square(second))
     while len(chosen) < n_train:
         at = int(np.argmax(np.where(taken, -1.0, nearest)))
         chosen.append(at)
         taken[at] = True
-        nearest = np.minimum(nearest, square(at))
-    return np.array(chosen[:n_train], dtype=np.int64)
+        nearest = np.minimum(nearest, squares(x, x[at]))
+    return np.array(chosen, dtype=np.int64)
 
 
 def test_rows(n: int, test_size: float) -> int:

@@ -1,41 +1,45 @@
-"""Train/test splits as tables (sample_id, partition, ord)."""
+"""Train/test splits as tables (sample_id, partition, ord).
+
+A maximin (Kennard-Stone) split takes the two rows farthest apart, then always the row
+whose nearest chosen row is farthest. It is sequential, but most of it need not go over
+the data row by row:
+
+* The farthest pair lies among rows far from the centre: two rows are never farther
+  apart than their radii add up to. Rows go by falling radius in blocks, each block
+  meets all rows in one pass, and the search ends when two radii cannot reach the best pair.
+* A row's distance to the chosen ones only falls. So of the ``block`` farthest rows, the
+  best after any number of choices is the best of all as long as it lies before the
+  first row that was left out, where that row stood at first. One pass hands these rows to
+  the driver, which chooses many of them; the next pass lowers all distances by all
+  of those choices at once.
+
+Tables of up to ``block`` rows, which the driver would hold anyway, are split by one task,
+and so are groups. Larger groups take the way above, one by one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import DataError
 from ..functions.columns import doubles
-from ..functions.kernels import kennard_stone, test_rows
+from ..functions.kernels import farthest, kennard_stone, nearest_squares, squares, test_rows
+from ..shared import Tables
+from .matrix import with_position
 
+BLOCK = 4096
+#: Rows of a group that one task splits.
+GROUP_ROWS = 20_000
 
-def kennard_stone_split(
-    df: DataFrame,
-    test_size: float = 0.25,
-    *,
-    group: str | None = None,
-    key: str = "sample_id",
-    spectrum: str = "spectrum",
-    max_group: int | None = None,
-) -> DataFrame:
-    """([group,] sample_id, partition, ord) of a Kennard-Stone split on the raw spectra.
 
-    Euclidean distance, ties to the smaller id; ``ord`` is the order of selection
-    for train and of ids for test. Each group is split by itself, in parallel. A
-    maximin split is sequential, so one task computes a group: its memory is linear
-    in the group's rows, its time grows with their square. Where ``max_group`` is
-    given, a group with more rows is refused before any is computed.
-    """
-    keyed = df.select(
-        (F.col(group) if group else F.lit(0)).alias("_g"), F.col(key).alias("sample_id"), doubles(F.col(spectrum)).alias("x")
-    )
-    if max_group is not None:
-        largest = keyed.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
-        if largest > max_group:
-            raise DataError(f"a group of {largest} rows; this split takes at most {max_group}")
+def _in_tasks(keyed: DataFrame, test_size: float) -> DataFrame:
+    """(_g, sample_id, partition, ord) with each group computed by one task."""
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("sample_id", kind="stable")
@@ -54,7 +58,181 @@ def kennard_stone_split(
 
     kind = keyed.schema["_g"].dataType.simpleString()
     ident = keyed.schema["sample_id"].dataType.simpleString()
-    out = keyed.groupBy("_g").applyInPandas(split, f"_g {kind}, sample_id {ident}, partition string, ord int")
+    return keyed.groupBy("_g").applyInPandas(split, f"_g {kind}, sample_id {ident}, partition string, ord int")
+
+
+def _matrix(x: pa.Array, width: int) -> np.ndarray:
+    values = x.flatten().to_numpy(zero_copy_only=False)
+    if x.null_count or len(values) != len(x) * width:
+        raise ValueError(f"spectra must all have {width} values")
+    return values.reshape(-1, width)
+
+
+def _centre(rows: DataFrame, width: int) -> np.ndarray:
+    """The mean spectrum, which only conditions the sums: any point near it would do."""
+    means = rows.select(F.posexplode("x").alias("j", "v")).groupBy("j").agg(F.avg("v").alias("v")).collect()  # a row a column
+    centre = np.zeros(width)
+    for r in means:
+        centre[r.j] = r.v
+    return centre
+
+
+def _collect(rows: DataFrame, width: int) -> tuple[list, np.ndarray]:
+    """Ids and spectra of a bounded table."""
+    table = rows.toArrow()
+    return table["sample_id"].to_pylist(), _matrix(table["x"].combine_chunks(), width)
+
+
+def _farthest_pair(rows: DataFrame, width: int, block: int) -> tuple[list, np.ndarray]:
+    """Ids and spectra of the two rows farthest apart; of equal pairs the one with the smallest ids."""
+    far = with_position(rows.withColumn("inward", -F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))), order="inward", name="place")
+    far = Tables(rows.sparkSession, "farthest").save(far.withColumn("block", F.expr(f"place div {block}")), "far")
+    radii = {r.block: r.r for r in far.groupBy("block").agg(F.max(-F.col("inward")).alias("r")).collect()}  # a row a block
+    ident = rows.schema["sample_id"].dataType.simpleString()
+    best: tuple[float, list, np.ndarray] | None = None
+    for k in sorted(radii):
+        least = -1.0 if best is None else best[0]
+        if (radii[k] * 2 * (1 + 1e-9)) ** 2 < least:
+            break
+        ids, held = _collect(far.where(F.col("block") == k).orderBy("sample_id").select("sample_id", "x"), width)
+
+        def pair(batches: Iterator[pa.RecordBatch], ids=ids, held=held, least=least) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                mine = batch.column(0).to_pylist()
+                order = sorted(range(len(mine)), key=mine.__getitem__)
+                x = _matrix(batch.column(1), width)[order]
+                apart = np.array([[mine[i] != j for j in ids] for i in order]) if set(mine) & set(ids) else None
+                found = farthest(x, held, apart, least) if len(x) else None
+                if found:
+                    pairs = [sorted((mine[order[found[1]]], ids[found[2]]))]
+                    if found[3]:  # of equal pairs the first by either side holds the smallest id
+                        other = farthest(held, x, None if apart is None else apart.T, found[0])
+                        pairs.append(sorted((mine[order[other[2]]], ids[other[1]])))
+                    a, b = min(pairs)
+                    yield pa.RecordBatch.from_pydict({"d": [found[0]], "a": [a], "b": [b]})
+
+        # later blocks lie further in; earlier ones have met this one already
+        reach = F.col("inward") <= -(max(least, 0.0) ** 0.5 - radii[k]) + 1e-9 * radii[k]
+        pairs = far.where((F.col("block") >= k) & reach).select("sample_id", "x").mapInArrow(pair, f"d double, a {ident}, b {ident}")
+        top = pairs.orderBy(F.col("d").desc(), "a", "b").first()
+        if top and (best is None or (-top.d, top.a, top.b) < (-best[0], *best[1])):
+            best = (top.d, [top.a, top.b], None)
+    ids, x = _collect(rows.where(F.col("sample_id").isin(best[1])).orderBy("sample_id"), width)
+    return ids, x
+
+
+def _choose(ids: list, x: np.ndarray, nearest: np.ndarray, bound: tuple | None, most: int) -> list[int]:
+    """Places chosen one after another among candidates in order of id, while none that was left out can be better."""
+    nearest, chosen = nearest.copy(), []
+    while len(chosen) < min(most, len(ids)):
+        at = int(np.argmax(nearest))  # of equal ones the smaller id
+        if bound is not None and (-nearest[at], ids[at]) > bound:
+            break
+        chosen.append(at)
+        nearest = np.minimum(nearest, squares(x, x[at]))
+        nearest[chosen] = -1.0
+    return chosen
+
+
+def _distributed(rows: DataFrame, n: int, test_size: float, block: int) -> DataFrame:
+    """(sample_id, partition, ord) of one table (sample_id, x) of ``n`` rows."""
+    spark, tables = rows.sparkSession, Tables(rows.sparkSession, "maximin")
+    width = rows.select(F.size("x").alias("w")).first().w
+    n_train = n - test_rows(n, test_size)
+    centre = _centre(rows, width)
+
+    def centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1), width) - centre
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["sample_id", "x"])
+
+    ident = rows.schema["sample_id"].dataType.simpleString()
+    kind = f"sample_id {ident}, x array<double>"
+    rows = tables.save(rows.select("sample_id", "x").mapInArrow(centred, kind), "rows")
+    ids, x = _farthest_pair(rows, width, block)
+    ids, x = ids[:n_train], x[:n_train]
+
+    def lowered(given: DataFrame, ids: list, chosen: np.ndarray) -> DataFrame:
+        gone = set(ids)
+
+        def lower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                stay = np.array([i not in gone for i in batch.column(0).to_pylist()], dtype=bool)
+                if stay.any():
+                    batch = batch.filter(pa.array(stay))
+                    d = nearest_squares(_matrix(batch.column(1), width), chosen, batch.column(2).to_numpy())
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d)], ["sample_id", "x", "d"])
+
+        return given.mapInArrow(lower, kind + ", d double")
+
+    done, passes = 0, 0
+    left = rows.withColumn("d", F.lit(float("inf")))
+    while True:
+        left = tables.save(lowered(left, ids, x), f"left{passes % 2}")
+        batch = [(i, "train", done + k) for k, i in enumerate(ids)]
+        path = f"{tables.root}/chosen"
+        spark.createDataFrame(batch, f"sample_id {ident}, partition string, ord int").write.mode("append").parquet(path)
+        done, passes = done + len(ids), passes + 1
+        if done >= n_train:
+            break
+        rest = n - done
+        share = max(0.0, 1 - 2 * block / rest)
+        floor = left.agg(F.percentile_approx("d", share, 10_000)).first()[0] if rest > 2 * block else 0.0
+        order = [F.col("d").desc(), F.col("sample_id")]
+        top = left.where(F.col("d") >= floor).orderBy(*order).limit(block + 1).select("sample_id", "x", "d").toArrow()
+        if top.num_rows <= block < rest:  # the estimate was too high
+            top = left.orderBy(*order).limit(block + 1).select("sample_id", "x", "d").toArrow()
+        bound = None
+        if top.num_rows > block:
+            last = top.slice(block, 1).to_pylist()[0]
+            bound, top = (-last["d"], last["sample_id"]), top.slice(0, block)
+        names = top["sample_id"].to_pylist()
+        by_id = sorted(range(len(names)), key=names.__getitem__)
+        names = [names[i] for i in by_id]
+        candidates = _matrix(top["x"].combine_chunks(), width)[by_id]
+        places = _choose(names, candidates, top["d"].to_numpy()[by_id], bound, n_train - done)
+        ids, x = [names[i] for i in places], candidates[places]
+    chosen = spark.read.schema(f"sample_id {ident}, partition string, ord int").parquet(path)
+    tests = with_position(left.select("sample_id"), name="ord").select("sample_id", F.lit("test").alias("partition"), F.col("ord").cast("int"))
+    return chosen.unionByName(tests)
+
+
+def kennard_stone_split(
+    df: DataFrame,
+    test_size: float = 0.25,
+    *,
+    group: str | None = None,
+    key: str = "sample_id",
+    spectrum: str = "spectrum",
+    max_group: int | None = None,
+    block: int = BLOCK,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """([group,] sample_id, partition, ord) of a Kennard-Stone split on the raw spectra.
+
+    Euclidean distance, ties to the smaller id; ``ord`` is the order of selection for
+    train and of ids for test. Ids must be unique and not null. Each group is split by
+    itself: groups of up to ``group_rows`` rows side by side, larger ones pass by pass.
+    Where ``max_group`` is given, a group with more rows is refused before any is computed.
+    """
+    keyed = df.select(
+        (F.col(group) if group else F.lit(0)).alias("_g"), F.col(key).alias("sample_id"), doubles(F.col(spectrum)).alias("x")
+    )
+    limit = group_rows if group else block
+    if max_group is not None:
+        largest = keyed.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
+        if largest > max_group:
+            raise DataError(f"a group of {largest} rows; this split takes at most {max_group}")
+    # groups beyond the limit: fewer than rows / limit
+    large = {r._g: r.n for r in keyed.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).collect()}
+    small = keyed
+    for g in large:
+        small = small.where(~F.col("_g").eqNullSafe(F.lit(g)))
+    out = None if large and not group else _in_tasks(small, test_size)
+    for g, n in large.items():
+        one = keyed.where(F.col("_g").eqNullSafe(F.lit(g))).select("sample_id", "x")
+        part = _distributed(one, n, test_size, block).select(F.lit(g).cast(keyed.schema["_g"].dataType).alias("_g"), "sample_id", "partition", "ord")
+        out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("_g", group) if group else out.drop("_g")
 
 
