@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
-from .matrix import with_position
+from .matrix import bounds_of, bucket_of, with_position
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
@@ -175,6 +175,84 @@ def pairwise(df: DataFrame, run: str, key: str, value: str) -> DataFrame:
     )
 
 
+def pairwise_slots(df: DataFrame, run: str, key: str, value: str) -> DataFrame:
+    """As :func:`pairwise`, for one row a (run, key), with a single shuffle of the data.
+
+    A key's values of all runs meet in one aggregate row with a slot a run, which tasks
+    fill before the shuffle; pairs of slots then compare within the row, and only the
+    results of pairs, of which there are as many as pairs of runs, are shuffled again.
+    """
+    runs = sorted(r[0] for r in df.where(F.col(run).isNotNull()).select(run).distinct().collect())  # a row a run
+    if len(runs) < 2:
+        return df.select(F.col(run).alias("run_a"), F.col(run).alias("run_b"), F.lit(0).cast("long").alias("n_common"), F.lit(0.0).alias("max_abs")).limit(0)
+    there = lambda r: F.col(run) == F.lit(r)
+    slots = [F.max(F.when(there(r), F.struct(F.lit(1).alias("in"), F.col(value).alias("v")))).alias(f"s{i}") for i, r in enumerate(runs)]
+    rows = df.where(F.col(key).isNotNull()).groupBy(key).agg(*slots)
+    pairs = [
+        F.when(F.col(f"s{i}").isNotNull() & F.col(f"s{j}").isNotNull(), F.struct(
+            F.lit(runs[i]).alias("run_a"), F.lit(runs[j]).alias("run_b"), F.abs(F.col(f"s{i}.v") - F.col(f"s{j}.v")).alias("gap")
+        ))
+        for i in range(len(runs)) for j in range(i + 1, len(runs))
+    ]
+    met = rows.select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).select("p.*")
+    return met.groupBy("run_a", "run_b").agg(F.count(F.lit(1)).alias("n_common"), F.max("gap").alias("max_abs"))
+
+
+def _digests(df: DataFrame, key: str, values: Sequence[str], buckets: int, side: str) -> DataFrame:
+    """(bucket, d): per bucket of keys, rows and two sums of row hashes that do not depend on order."""
+    row = [F.col(key), *[F.col(v) for v in values]]
+    sums = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*row).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(*row, F.lit(1))).alias("x"))
+    return df.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")).agg(*sums).select("bucket", F.struct("n", "s", "x").alias(side))
+
+
+def run_differences(
+    a: DataFrame, b: DataFrame, *, key: str = "sample_id", values: Sequence[str] = ("target", "prediction"), buckets: int = 4096
+) -> DataFrame:
+    """(key, kind, max_abs) of the rows in which two tables with unique keys differ.
+
+    ``kind`` is ``only_a``, ``only_b`` or ``changed``; ``max_abs`` is the largest difference of a
+    changed row's values (null if one of them is null). Both tables are first reduced to a
+    digest of 128 bits a bucket of keys. Only digests are shuffled; buckets whose
+    digests agree are not looked at again, so nearly equal runs of any size cost two
+    scans and a join of the rows of a few buckets.
+    """
+    spark = a.sparkSession
+    both = _digests(a, key, values, buckets, "a").join(_digests(b, key, values, buckets, "b"), "bucket", "full_outer")
+    differ = [r.bucket for r in both.where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket").collect()]  # at most ``buckets``
+    kind = a.schema[key].dataType.simpleString()
+    if not differ:
+        return spark.createDataFrame([], f"`{key}` {kind}, kind string, max_abs double")
+    mine = F.pmod(F.xxhash64(key), F.lit(buckets)).isin(differ)
+    left, right = (
+        d.where(mine).select(F.col(key).alias("k"), F.struct(*[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)]).alias(side))
+        for d, side in ((a, "a"), (b, "b"))
+    )
+    met = left.join(right, "k", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+    gaps = [F.abs(F.col(f"a.v{i}") - F.col(f"b.v{i}")) for i in range(len(values))]
+    odd = [F.col(f"a.v{i}").isNull() != F.col(f"b.v{i}").isNull() for i in range(len(values))]
+    any_odd = odd[0]
+    for o in odd[1:]:
+        any_odd = any_odd | o
+    side = F.when(F.col("b").isNull(), "only_a").when(F.col("a").isNull(), "only_b").otherwise("changed")
+    largest = F.array_max(F.array(*gaps))
+    return met.select(F.col("k").alias(key), side.alias("kind"), F.when((side == "changed") & ~any_odd, largest).alias("max_abs"))
+
+
+def difference_report(a: DataFrame, b: DataFrame, *, key: str = "sample_id", values: Sequence[str] = ("target", "prediction"), tolerance: float = 1e-10, listed: int = 20) -> DataFrame:
+    """One row: n_only_a, n_only_b, n_changed, n_beyond the tolerance, max_abs, agrees, and the first ``listed`` ids of each kind."""
+    found = run_differences(a, b, key=key, values=values)
+    beyond = (F.col("kind") == "changed") & F.coalesce(F.col("max_abs") > tolerance, F.lit(True))
+    order = F.row_number().over(Window.partitionBy("kind", F.pmod(F.xxhash64(key), F.lit(64))).orderBy(key))
+    short = found.withColumn("beyond", beyond).withColumn("at", order)  # a kind's first ids are among the first of each part
+    lists = [
+        F.slice(F.sort_array(F.collect_list(F.when((F.col("kind") == k) & (F.col("at") <= listed), F.col(key)))), 1, listed).alias(f"ids_{k}")
+        for k in ("only_a", "only_b", "changed")
+    ]
+    counts = [F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in ("only_a", "only_b", "changed")]
+    out = short.agg(*counts, F.count_if("beyond").alias("n_beyond"), F.coalesce(F.max("max_abs"), F.lit(0.0)).alias("max_abs"), *lists)
+    return out.withColumn("agrees", (F.col("n_only_a") == 0) & (F.col("n_only_b") == 0) & (F.col("n_beyond") == 0))
+
+
 def case_maxima(df: DataFrame, *values: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_cases"), *[F.max(v).alias(f"max_{v}") for v in values])
 
@@ -195,6 +273,44 @@ def slice_coverage(df: DataFrame, *, keys: Sequence[str], start: str, stop: str,
     )
 
 
+def interval_coverage(
+    df: DataFrame, *, keys: Sequence[str], start: str, stop: str, width: str, parts: int | None = None
+) -> DataFrame:
+    """Per key: n_slices, starts_at_zero, ends_at_width, n_overlaps, n_gaps and the length covered, for any number of slices.
+
+    A slice overlaps if it begins before an earlier one has ended, and leaves a gap if it
+    begins after all earlier ones have; earlier means in order of start, then stop, so a
+    slice nested in a long one hides nothing. Empty slices count like others.
+
+    The end reached so far is a prefix maximum in two levels: slices are dealt to ranges
+    of ``start``, the maximum of each (key, range) is handed on to the ranges after it, and each
+    range scans its own slices from there. A key of millions of slices is scanned by
+    as many tasks as there are ranges.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"key{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(start).alias("a"), F.col(stop).alias("b"), F.col(width).alias("w"))
+    rows = rows.withColumn("range", bucket_of(F.col("a"), bounds_of(rows, "a", parts)))
+    tops = rows.groupBy(*names, "range").agg(F.max("b").alias("top"))  # at most ``parts`` rows a key
+    so_far = Window.partitionBy(*names).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(*[F.col(n).alias(f"t_{n}") for n in names], F.col("range").alias("t_range"), F.max("top").over(so_far).alias("reached"))
+    meet = F.col("range") == F.col("t_range")
+    for n in names:
+        meet = meet & F.col(n).eqNullSafe(F.col(f"t_{n}"))
+    within = Window.partitionBy(*names, "range").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    scanned = rows.join(tops, meet).withColumn("before", F.greatest(F.max("b").over(within), F.col("reached")))
+    fresh = F.greatest(F.col("b") - F.greatest(F.col("a"), F.coalesce("before", "a")), F.lit(0))
+    out = scanned.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("n_slices"),
+        (F.min("a") == 0).alias("starts_at_zero"),
+        (F.max("b") == F.max("w")).alias("ends_at_width"),
+        F.count_if(F.col("a") < F.col("before")).alias("n_overlaps"),
+        F.count_if(F.col("a") > F.col("before")).alias("n_gaps"),
+        F.sum(fresh).cast("long").alias("covered"),
+    )
+    return out.withColumnsRenamed(dict(zip(names, keys, strict=True)))
+
+
 def source_id(position: Column, *names: str) -> Column:
     """The first non-empty of several names, else ``source_<position>``."""
     return F.coalesce(*[F.when(F.col(n) != "", F.col(n)) for n in names], F.concat(F.lit("source_"), position.cast("string")))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +63,51 @@ def assemble_long(
     return wide.select(*keys, F.array(*[f"_{i}" for i in range(len(headers))]).alias("spectrum"))
 
 
+def header_places(df: DataFrame, header: str) -> DataFrame:
+    """(header, j): every header that occurs, numbered from 0 in order; nulls are no header."""
+    found = df.where(F.col(header).isNotNull()).select(F.col(header).alias("header")).distinct()
+    return with_position(found, order="header", name="j").select("header", F.col("j").cast("int").alias("j"))
+
+
+def assemble_sparse(
+    df: DataFrame, key: str | Sequence[str], header: str, value: str, *, places: DataFrame | None = None, fill: float = 0.0, agg=F.sum
+) -> DataFrame:
+    """(key…, spectrum) from (key, header, value) rows, for any number of headers.
+
+    Headers are a table, by default those that occur, and never leave the executors. Cells are
+    aggregated by (key, header) in the tasks and once more, meet their header's place,
+    and only the cells that are there travel to their key: a key's list has at most one
+    entry a header. A last step lays each list out as one array, a batch at a time, absent
+    cells as ``fill``. Rows with a null header, or one that ``places`` does not name, give their key no
+    cell; a key without cells is all ``fill``.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    places = header_places(df, header) if places is None else places
+    width = places.agg(F.coalesce(F.max("j") + 1, F.lit(0)).alias("n")).first().n
+    names = [f"key{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(header).alias("header"), F.col(value).alias("value"))
+    cells = rows.groupBy(*names, "header").agg(agg("value").cast("double").alias("v"))
+    cells = cells.join(places.select("header", "j"), "header", "left")
+    there = F.when(F.col("j").isNotNull() & F.col("v").isNotNull(), F.struct("j", "v"))
+    lists = cells.groupBy(*names).agg(F.collect_list(there).alias("c"))
+
+    def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, 4_000_000 // max(1, width))
+        for batch in batches:
+            for k in range(0, batch.num_rows, step):
+                part = batch.slice(k, step)
+                cells = part.column(len(names))
+                flat, counts = cells.flatten(), np.diff(cells.offsets.to_numpy())
+                out = np.full((part.num_rows, width), float(fill))
+                out[np.repeat(np.arange(part.num_rows), counts), flat.field("j").to_numpy()] = flat.field("v").to_numpy()
+                ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * width)
+                arrays = [*part.columns[: len(names)], pa.ListArray.from_arrays(ends, pa.array(out.ravel()))]
+                yield pa.RecordBatch.from_arrays(arrays, [*names, "spectrum"])
+
+    kinds = ", ".join(f"{n} {lists.schema[n].dataType.simpleString()}" for n in names)
+    return lists.mapInArrow(lay_out, f"{kinds}, spectrum array<double>").toDF(*keys, "spectrum")
+
+
 def _shape(spectrum: str) -> list[Column]:
     size = F.when(F.col(spectrum).isNotNull(), F.size(spectrum))
     return [
@@ -108,7 +155,17 @@ def require_rows(df: DataFrame, at_least: int = 20) -> int:
 _SAMPLED = 20
 
 
-def _bucket(value: Column, bounds: list) -> Column:
+def bounds_of(df: DataFrame, order: str, parts: int) -> list:
+    """At most ``parts`` - 1 different values that cut the values of ``order`` into parts of about one size, ascending.
+
+    They are read off a bounded sample, chosen by hash, so the same rows give the same bounds.
+    """
+    sample = df.where(F.col(order).isNotNull()).select(F.col(order).alias("v")).orderBy(F.xxhash64("v")).limit(_SAMPLED * parts)
+    values = [r.v for r in sample.distinct().orderBy("v").collect()]  # at most _SAMPLED * parts
+    return sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else []
+
+
+def bucket_of(value: Column, bounds: list) -> Column:
     """The number of ``bounds`` (ascending) below ``value``, by halving; nulls are in the first bucket."""
 
     def search(first: int, end: int) -> Column:
@@ -130,20 +187,19 @@ def with_position(df: DataFrame, *, order: str = "sample_id", name: str = "posit
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = df.where(F.col(order).isNotNull()).select(F.col(order).alias("v")).orderBy(F.xxhash64("v")).limit(_SAMPLED * parts)
-    values = [r.v for r in sample.distinct().orderBy("v").collect()]  # at most _SAMPLED * parts
-    bounds = [values[len(values) * k // parts] for k in range(1, parts)] if values else []
-    bucket = _bucket(F.col(order), sorted(set(bounds)))
-    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))  # one row per bucket
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy(order)
+    bucket = bucket_of(F.col(order), bounds_of(df, order, parts))
+    taken = {c.lower() for c in (*df.columns, name)}
+    b, n, start, at = (next(x for x in (f"{'_' * k}{c}" for k in range(1, 99)) if x not in taken) for c in ("bucket", "n", "start", "at"))
+    counts = df.groupBy(bucket.alias(b)).agg(F.count(F.lit(1)).alias(n))  # one row per bucket
+    before = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    within = Window.partitionBy(b).orderBy(order)
     return (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_at", F.row_number().over(within) - 1)
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
-        .drop("_bucket", "_at", "_start")
+        df.withColumn(b, bucket)
+        .withColumn(at, F.row_number().over(within) - 1)
+        .join(F.broadcast(starts), b)
+        .withColumn(name, (F.col(start) + F.col(at)).cast("long"))
+        .drop(b, at, start)
     )
 
 

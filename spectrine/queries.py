@@ -76,6 +76,38 @@ def assemble_long(spark, sf_dir):
     return matrix.long_form(wide, key="user_id", places=4)
 
 
+@register("assemble_sparse", "WITH h AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) AS j FROM (SELECT DISTINCT l_partkey FROM lineitem)), c AS (SELECT l_suppkey, l_partkey, sum(l_quantity) AS v FROM lineitem GROUP BY ALL) SELECT l_suppkey, (SELECT count(*) FROM h) AS n_cols, count(*) FILTER (WHERE v <> 0) AS n_set, round(sum(v), 4) AS total, round(sum(j * v), 4) AS moment FROM c JOIN h USING (l_partkey) GROUP BY l_suppkey")
+def assemble_sparse(spark, sf_dir):
+    """A column for every part: thousands of headers, found and placed without the driver."""
+    wide = matrix.assemble_sparse(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey", "l_quantity")
+    cells = wide.select("l_suppkey", F.size("spectrum").cast("long").alias("n_cols"), F.posexplode("spectrum").alias("j", "v")).where("v <> 0")
+    return cells.groupBy("l_suppkey", "n_cols").agg(
+        F.count(F.lit(1)).alias("n_set"), F.round(F.sum("v"), 4).alias("total"), F.round(F.sum((F.col("j") + 1) * F.col("v")), 4).alias("moment")
+    )
+
+
+@register("csv_triple", query(SPECTRA, f"SELECT CAST(l.i AS VARCHAR) AS observation_id, j, {r6('v')} AS value, {r6('y')} AS target, CASE WHEN p % 5 = 0 THEN 'test' ELSE 'train' END AS split_original, 'batch_' || (p % 3) AS batch FROM l JOIN (SELECT vec_id AS i, CAST(label AS DOUBLE) AS y, row_number() OVER (ORDER BY vec_id) - 1 AS p FROM embeddings) m USING (i) WHERE j IN (1, 10, 64)"))
+def csv_triple(spark, sf_dir):
+    """The spectra as X, Y and M files, found again by their headers, three columns of them."""
+    df = matrix.with_position(spectra(spark, sf_dir)).withColumn("observation_id", F.col("sample_id").cast("string"))
+    path = f"{shared_dir(spark)}/spectrine/triple-{uuid.uuid4().hex}"
+    datasets.write_csv_triple(df, [str(900 + 8 * k) for k in range(WIDTH)], path)
+    chosen = [datasets.csv_headers(spark, path)[k] for k in (0, 9, 63)]
+    back = datasets.read_csv_triple(spark, path, chosen)
+    cells = back.select("observation_id", "target", "split_original", "batch", F.posexplode("spectrum").alias("k", "value"))
+    j = F.element_at(F.lit([1, 10, 64]), F.col("k") + 1).cast("long")
+    return cells.select("observation_id", j.alias("j"), rounded("value"), rounded("target"), "split_original", "batch")
+
+
+@register("prediction_table", query((*SPECTRA, *oracles.pls("l", 2)), f"SELECT 'k2' AS scenario_id, i AS sample_index, {r6('y')} AS target, {r6('p')} AS prediction, {r6('p - y')} AS residual FROM pred2"))
+def prediction_table(spark, sf_dir):
+    """Predictions written as a table of evidence and read again."""
+    path = f"{shared_dir(spark)}/spectrine/predictions-{uuid.uuid4().hex}"
+    datasets.write_predictions(_predictions(spark, sf_dir, 2), path, scenario="k2")
+    back = datasets.read_predictions(spark, path, ["scenario_id", "sample_index", "target", "prediction", "residual"])
+    return back.select("scenario_id", "sample_index", rounded("target"), rounded("prediction"), rounded("residual"))
+
+
 @register("assemble_wide", "SELECT p_partkey AS sample_id, u.j AS j, round([CAST(p_size AS DOUBLE), p_retailprice][u.j], 6) + 0.0 AS value FROM part, unnest([1, 2]) AS u(j)".replace("u.j AS j", "CAST(u.j AS BIGINT) AS j"))
 def assemble_wide(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sample_id"), "p_size", "p_retailprice")
@@ -466,6 +498,34 @@ def pairwise_runs(spark, sf_dir):
     return audit.pairwise(runs, "run", "l_partkey", "q").select("run_a", "run_b", "n_common", F.round("max_abs", 6).alias("max_abs"))
 
 
+@register("pairwise_slots", SQL["pairwise_runs"])
+def pairwise_slots(spark, sf_dir):
+    runs = table(spark, sf_dir, "lineitem").groupBy(F.concat("l_linestatus", "l_returnflag").alias("run"), "l_partkey").agg(F.sum("l_quantity").alias("q"))
+    return audit.pairwise_slots(runs, "run", "l_partkey", "q").select("run_a", "run_b", "n_common", F.round("max_abs", 6).alias("max_abs"))
+
+
+_TWO_RUNS = "SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 101 <> 0"
+_OTHER_RUN = "SELECT o_orderkey AS k, o_totalprice + CASE WHEN o_orderkey % 97 = 0 THEN 0.5 + o_custkey % 3 ELSE 0 END AS v FROM orders WHERE o_orderkey % 103 <> 0"
+
+
+def _two_runs(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sample_id"), F.col("o_totalprice").cast("double").alias("prediction"), "o_custkey")
+    moved = F.col("prediction") + F.when(F.col("sample_id") % 97 == 0, 0.5 + F.col("o_custkey") % 3).otherwise(0.0)
+    return orders.where("sample_id % 101 <> 0").drop("o_custkey"), orders.where("sample_id % 103 <> 0").withColumn("prediction", moved).drop("o_custkey")
+
+
+@register("run_differences", f"SELECT coalesce(a.k, b.k) AS sample_id, CASE WHEN b.k IS NULL THEN 'only_a' WHEN a.k IS NULL THEN 'only_b' ELSE 'changed' END AS kind, round(abs(a.v - b.v), 6) AS max_abs FROM ({_TWO_RUNS}) a FULL OUTER JOIN ({_OTHER_RUN}) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
+def run_differences(spark, sf_dir):
+    return audit.run_differences(*_two_runs(spark, sf_dir), values=("prediction",)).select("sample_id", "kind", F.round("max_abs", 6).alias("max_abs"))
+
+
+@register("difference_report", f"WITH d AS (SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only_a' WHEN a.k IS NULL THEN 'only_b' ELSE 'changed' END AS kind, abs(a.v - b.v) AS g FROM ({_TWO_RUNS}) a FULL OUTER JOIN ({_OTHER_RUN}) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v) SELECT count(*) FILTER (WHERE kind = 'only_a') AS n_only_a, count(*) FILTER (WHERE kind = 'only_b') AS n_only_b, count(*) FILTER (WHERE kind = 'changed') AS n_changed, count(*) FILTER (WHERE g > 1) AS n_beyond, round(max(g), 6) AS max_abs, array_to_string((list(k ORDER BY k) FILTER (WHERE kind = 'only_a'))[1:5], ' ') AS ids_only_a, array_to_string((list(k ORDER BY k) FILTER (WHERE kind = 'changed'))[1:5], ' ') AS ids_changed, count(*) = 0 AS agrees FROM d")
+def difference_report(spark, sf_dir):
+    out = audit.difference_report(*_two_runs(spark, sf_dir), values=("prediction",), tolerance=1.0, listed=5)
+    ids = [F.array_join(F.col(f"ids_{k}").cast("array<string>"), " ").alias(f"ids_{k}") for k in ("only_a", "changed")]
+    return out.select("n_only_a", "n_only_b", "n_changed", "n_beyond", F.round("max_abs", 6).alias("max_abs"), *ids, "agrees")
+
+
 @register("case_max", "SELECT count(*) AS n_cases, max(s_acctbal) AS max_s_acctbal FROM supplier")
 def case_max(spark, sf_dir):
     return audit.case_maxima(table(spark, sf_dir, "supplier"), "s_acctbal")
@@ -482,6 +542,17 @@ def slice_coverage(spark, sf_dir):
     return audit.slice_coverage(lines, keys=["l_orderkey"], start="a", stop="b", width="w")
 
 
+_NESTED = "SELECT l_suppkey, CAST(l_partkey AS BIGINT) AS a, CAST(l_partkey + 1 + l_orderkey % 40 AS BIGINT) AS b FROM lineitem"
+
+
+@register("interval_coverage", f"WITH s AS ({_NESTED}), n AS (SELECT *, max(b) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS t FROM s) SELECT l_suppkey, count(*) AS n_slices, min(a) = 0 AS starts_at_zero, max(b) = 2000 AS ends_at_width, count(*) FILTER (WHERE a < t) AS n_overlaps, count(*) FILTER (WHERE a > t) AS n_gaps, CAST(sum(greatest(b - greatest(a, coalesce(t, a)), 0)) AS BIGINT) AS covered FROM n GROUP BY l_suppkey")
+def interval_coverage(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.col("l_partkey").cast("long").alias("a"), (F.col("l_partkey") + 1 + F.col("l_orderkey") % 40).cast("long").alias("b"), F.lit(2000).alias("w")
+    )
+    return audit.interval_coverage(lines, keys=["l_suppkey"], start="a", stop="b", width="w")
+
+
 @register("status_fold", "SELECT o_custkey, CASE WHEN bool_or(o_orderstatus = 'O') THEN 'failed' WHEN bool_or(o_orderstatus = 'P') THEN 'blocked' ELSE 'passed' END AS status FROM orders GROUP BY o_custkey")
 def status_fold(spark, sf_dir):
     s = F.when(F.col("o_orderstatus") == "O", "failed").when(F.col("o_orderstatus") == "P", "blocked").otherwise("passed")

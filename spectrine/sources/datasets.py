@@ -81,10 +81,26 @@ def write_csv_triple(df: DataFrame, headers: Sequence, path: str, *, target: str
     meta.write.csv(f"{path}/M", **option)
 
 
-def read_csv_triple(spark: SparkSession, path: str, headers: Sequence, *, target: str = "moisture") -> DataFrame:
-    """(observation_id, spectrum, target, split_original, batch): X, Y and M joined on the id."""
+def csv_headers(spark: SparkSession, path: str) -> list[str]:
+    """The feature headers of a triple, in order, from the first line of X alone."""
+    names = spark.read.csv(f"{path}/X", sep=";", header=True).columns
+    if not names or names[0] != "observation_id":
+        raise DataError("X needs observation_id as its first column")
+    return names[1:]
+
+
+def read_csv_triple(spark: SparkSession, path: str, headers: Sequence | None = None, *, target: str = "moisture") -> DataFrame:
+    """(observation_id, spectrum, target, split_original, batch): X, Y and M joined on the id.
+
+    Without ``headers`` those of the files are taken; with some of them only their columns are parsed. Files
+    whose header differs from what is asked are refused when they are read.
+    """
+    found = csv_headers(spark, path)
+    headers = found if headers is None else [str(h) for h in headers]
+    if lost := [h for h in headers if h not in set(found)]:
+        raise DataError("X lacks the columns " + ", ".join(lost))
     option = {"sep": ";", "header": True}
-    cells = ", ".join(f"`{h}` double" for h in headers)
+    cells = ", ".join(f"`{h}` double" for h in found)
     x = spark.read.csv(f"{path}/X", schema=f"observation_id string, {cells}", **option)
     y = spark.read.csv(f"{path}/Y", schema=f"observation_id string, `{target}` double", **option)
     m = spark.read.csv(f"{path}/M", schema="dataset_id string, observation_id string, split_original string, batch string", **option)
