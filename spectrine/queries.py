@@ -23,6 +23,7 @@ from .functions.losses import bind_training_loss
 from .functions.metrics import metric_sql
 from .operators import audit, matrix, pls, split
 from .oracles import SPECTRA, query, r6
+from .plans import workspace
 from .plans.definition import component_counts
 from .plans.runner import Model, run
 from .shared import shared_dir
@@ -371,6 +372,19 @@ def pls_huber(spark, sf_dir):
     return pls.predict_all(df, [fitted.model]).select("sample_id", rounded("target"), rounded("prediction"))
 
 
+@register("saved_run_rerun", query(_SOURCES["savgol_pls"], f"SELECT i AS sample_id, {r6('y')} AS target, {r6('p')} AS saved, {r6('p')} AS again, true AS agrees FROM pred4"))
+def saved_run_rerun(spark, sf_dir):
+    """A run saved and reopened, its definition run again on the data and saved too; both met bucket by bucket."""
+    df = spectra(spark, sf_dir)
+    root = f"{shared_dir(spark)}/spectrine/runs-{uuid.uuid4().hex}"
+    workspace.save_run(run(DEFINITIONS["savgol_pls"], df), f"{root}/first")
+    first = workspace.open_run(spark, f"{root}/first")
+    workspace.save_run(first.rerun(df), f"{root}/again")
+    both = workspace.joined_predictions(first, workspace.open_run(spark, f"{root}/again"))
+    renamed = both.withColumnsRenamed({"target_a": "target", "prediction_a": "saved", "prediction_b": "again"})
+    return renamed.withColumn("agrees", F.abs(F.col("saved") - F.col("again")) <= 1e-10).select("sample_id", rounded("target"), rounded("saved"), rounded("again"), "agrees")
+
+
 _BY_TARGET = ", ".join(
     f"{r6(sql)} AS {name}"
     for name, sql in (
