@@ -7,21 +7,25 @@ import json
 import os
 import struct
 import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DataError, SessionClosed, SpectrineError, UnsupportedCapability
 from ..functions.columns import doubles, linear, snv
+from ..functions.hashes import stable_hash
 from ..functions.kernels import PlsModel, savgol_matrix
 from ..functions.metrics import evaluate, register_metric
 from ..operators import pls
 from ..operators.matrix import require_rectangular
 from ..operators.split import identity_split, kennard_stone_split
+from ..shared import Tables
 from .definition import Definition, Plan, compile_plan, load
 
 __all__ = ["Model", "Result", "Session", "evaluate", "preflight", "publish", "register_metric", "run", "stable_hash"]
@@ -136,20 +140,27 @@ def run(source: Any, df: DataFrame) -> Result:
 
     ``df`` is (sample_id, spectrum, target). Transforms are row-wise, so the table is
     transformed as it is read and the split joined afterwards; without a splitter no
-    join is made at all. Ragged spectra, nulls and values that are not finite are refused
-    before anything is fitted.
+    join is made at all, and the pass that fits also counts the rows and shows whether
+    they are sound. Ragged spectra, nulls and values that are not finite are refused. A
+    split is written to the shared folder, so it is computed once and nothing has to be held.
     """
     definition = load(source)
     plan = compile_plan(definition)
-    rows, width = require_rectangular(df, target="target")
-    df = df.select("sample_id", doubles(F.col("spectrum")).alias("spectrum"), F.col("target").cast("double").alias("target"))
-    ready = df.withColumn("spectrum", transform_column(F.col("spectrum"), plan, width))
+    k = max(plan.n_components)
+    typed = df.select("sample_id", doubles(F.col("spectrum")).alias("spectrum"), F.col("target").cast("double").alias("target"))
+
+    def ready(width: int) -> DataFrame:
+        return typed.withColumn("spectrum", transform_column(F.col("spectrum"), plan, width))
+
     if plan.test_size is None:
-        split, train, test = identity_split(df), ready, ready
+        split = identity_split(typed)
+        models, rows, width = _fit_all(df, ready, k)
+        test = ready(width)
     else:
-        split = kennard_stone_split(df, plan.test_size).persist()  # computed once, kept on the executors
-        train, test = (ready.join(split.where(F.col("partition") == p).select("sample_id"), "sample_id") for p in ("train", "test"))
-    models = pls.fit(train, max(plan.n_components), width=width)
+        rows, width = require_rectangular(df, target="target")
+        split = Tables(df.sparkSession, "split").save(kennard_stone_split(typed, plan.test_size), "split")
+        train, test = (ready(width).join(split.where(F.col("partition") == p).select("sample_id"), "sample_id") for p in ("train", "test"))
+        models = pls.fit(train, k, width=width)
     swept = [models[k - 1] for k in plan.n_components]
     predictions = pls.predict_all(test, swept)
     variants = pls.rmse(predictions)
@@ -157,16 +168,30 @@ def run(source: Any, df: DataFrame) -> Result:
     return Result(definition, plan, rows, width, split, predictions, variants, selected, Model(plan, swept[selected["variant_idx"]]))
 
 
+def _fit_all(df: DataFrame, ready: Callable[[int], DataFrame], k: int) -> tuple[list[PlsModel], int, int]:
+    """Models of all rows, their number and width, in one pass; what is wrong with rows is looked up only if something is."""
+    first = df.select(F.size("spectrum").alias("w")).first()
+    width = first.w if first else 0
+    if width is None or not 0 < width <= pls.MAX_WIDTH:
+        rows, width = require_rectangular(df, target="target")
+        return pls.fit(ready(width), k, width=width), rows, width
+    try:
+        sums = pls.moments(ready(width), width)
+        sound = bool(np.isfinite(sums).all())
+    except (PySparkException, TypeError):
+        sums, sound = None, False
+    if not sound:
+        require_rectangular(df, target="target")
+    if sums is None or not sound:
+        raise DataError("a transformed spectrum is not finite")
+    return pls.models_from_moments(sums, k), round(sums[0, 0]), width
+
+
 def dumps(value: Any) -> str:
     """Sorted keys, two spaces, no NaN."""
     return json.dumps(value, sort_keys=True, indent=2, allow_nan=False)
 
 
-def stable_hash(value: Any) -> str:
-    """SHA-256 of compact JSON with sorted keys."""
-    return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False).encode()).hexdigest()
-
-
 def definition_sha256(definition: Definition) -> str:
     return stable_hash(definition.as_dict())
 

@@ -19,6 +19,7 @@ from . import catalog, ml, oracles
 from .functions import columns as C
 from .functions.kernels import MODES
 from .functions.kernels import savgol_matrix
+from .functions.hashes import stable_hash_of
 from .functions.losses import bind_training_loss
 from .functions.metrics import metric_sql
 from .operators import audit, matrix, pls, split
@@ -540,6 +541,23 @@ def difference_report(spark, sf_dir):
     return out.select("n_only_a", "n_only_b", "n_changed", "n_beyond", F.round("max_abs", 6).alias("max_abs"), *ids, "agrees")
 
 
+_ORDER_JSON = "SELECT o_orderkey, sha256('{\"key\":' || o_orderkey || ',\"lines\":[' || coalesce(string_agg('{\"n\":' || l_linenumber || ',\"part\":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey), '') || '],\"none\":null,\"status\":\"' || o_orderstatus || '\",\"tags\":{\"a b\":true,\"ü\":\"' || o_custkey || '\"}}') AS sha256 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus, o_custkey"
+
+
+@register("stable_hash_nested", _ORDER_JSON)
+def stable_hash_nested(spark, sf_dir):
+    """Hashes of orders as nested values: structs, an array of structs and a null."""
+    line = F.when(F.col("l_linenumber").isNotNull(), F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part")))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+    orders = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").groupBy("o_orderkey", "o_orderstatus", "o_custkey")
+    orders = orders.agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    value = F.struct(
+        F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("key"), "lines", F.lit(None).cast("string").alias("none"),
+        F.struct(F.col("o_custkey").cast("string").alias("ü"), F.lit(True).alias("a b")).alias("tags"),
+    )
+    return orders.select("o_orderkey", stable_hash_of(value).alias("sha256"))
+
+
 @register("case_max", "SELECT count(*) AS n_cases, max(s_acctbal) AS max_s_acctbal FROM supplier")
 def case_max(spark, sf_dir):
     return audit.case_maxima(table(spark, sf_dir, "supplier"), "s_acctbal")
