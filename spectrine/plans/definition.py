@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections.abc import Callable
 from copy import deepcopy
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -18,26 +19,33 @@ import yaml
 from ..errors import DefinitionError
 from ..functions.kernels import MODES
 
-#: Accepted class names by operator: a root package followed by one of the customary module paths.
-CLASSES = {
-    "KennardStone": (r"\w+\.operators\.splitters\.(?:splitters\.)?KennardStoneSplitter",),
-    "StandardNormalVariate": (
-        r"\w+\.operators\.transforms\.SNV",
-        r"\w+\.operators\.transforms\.(?:scalers\.)?StandardNormalVariate",
-    ),
-    "SavitzkyGolay": (r"\w+\.operators\.transforms\.(?:nirs\.)?SavitzkyGolay",),
-    "PLSRegression": (r"sklearn\.cross_decomposition\.(?:_pls\.)?PLSRegression",),
+#: The class names of the plan language. Those of the first table stand below a root package.
+BELOW_ROOT = {
+    "operators.splitters.KennardStoneSplitter": "KennardStone",
+    "operators.splitters.splitters.KennardStoneSplitter": "KennardStone",
+    "operators.transforms.SNV": "StandardNormalVariate",
+    "operators.transforms.StandardNormalVariate": "StandardNormalVariate",
+    "operators.transforms.scalers.StandardNormalVariate": "StandardNormalVariate",
+    "operators.transforms.SavitzkyGolay": "SavitzkyGolay",
+    "operators.transforms.nirs.SavitzkyGolay": "SavitzkyGolay",
 }
+WHOLE = {
+    "sklearn.cross_decomposition.PLSRegression": "PLSRegression",
+    "sklearn.cross_decomposition._pls.PLSRegression": "PLSRegression",
+}
+#: Root packages that are accepted; empty: any one package. A program that wants one alone puts its name here.
+ROOTS: set[str] = set()
 _COMMENT = "_comment"
 
 
 def operator_of(name: Any) -> str | None:
     """The operator that a class name stands for."""
-    if isinstance(name, str):
-        for operator, patterns in CLASSES.items():
-            if any(re.fullmatch(p, name) for p in patterns):
-                return operator
-    return None
+    if not isinstance(name, str):
+        return None
+    root, _, rest = name.partition(".")
+    if rest in BELOW_ROOT and (root in ROOTS if ROOTS else re.fullmatch(r"\w+", root)):
+        return BELOW_ROOT[rest]
+    return WHOLE.get(name)
 
 
 @dataclass(frozen=True)
@@ -206,38 +214,48 @@ def component_counts(step: dict) -> tuple[int, ...]:
     return (count,)
 
 
+def _test_size(params: dict) -> float:
+    size = number(_given(params, "test_size", default=0.25), "test_size")
+    if not 0 < size < 1:
+        raise DefinitionError("test_size must lie between 0 and 1")
+    return size
+
+
+#: What a step of each operator adds to a plan: its role, and its value from the step's parameters.
+_STEPS: dict[str, tuple[str, Callable[[dict], Any]]] = {
+    "KennardStone": ("splitter", _test_size),
+    "StandardNormalVariate": ("transform", lambda params: ("StandardNormalVariate", ())),
+    "SavitzkyGolay": ("transform", lambda params: ("SavitzkyGolay", savgol_params(params))),
+}
+
+
+def _part(step: Any) -> tuple[str, Any]:
+    """(role, value) of a step."""
+    if not isinstance(step, dict):
+        raise DefinitionError("a step is a mapping")
+    name, params = step.get("class"), step.get("params") or {}
+    if isinstance(name, str):
+        if not isinstance(params, dict):
+            raise DefinitionError("params must be a mapping")
+        if operator_of(name) not in _STEPS:
+            raise DefinitionError(f"class {name!r} is no step")
+        role, value = _STEPS[operator_of(name)]
+        return role, value(params)
+    model = step.get("model")
+    if not isinstance(model, dict):
+        raise DefinitionError(f"not a step: {step!r}")
+    if operator_of(model.get("class")) != "PLSRegression":
+        raise DefinitionError(f"class {model.get('class')!r} is no model")
+    return "model", component_counts(step)
+
+
 def compile_plan(source: Any) -> Plan:
     """The plan of a definition. The last splitter counts; there is exactly one model, a PLS regression."""
-    test_size, preprocessing, model = None, [], None
-    for step in load(source).pipeline:
-        if not isinstance(step, dict):
-            raise DefinitionError("a step is a mapping")
-        operator = operator_of(step.get("class"))
-        params = step.get("params") or {}
-        if isinstance(step.get("class"), str):
-            if not isinstance(params, dict):
-                raise DefinitionError("params must be a mapping")
-            if operator == "KennardStone":
-                test_size = number(_given(params, "test_size", default=0.25), "test_size")
-                if not 0 < test_size < 1:
-                    raise DefinitionError("test_size must lie between 0 and 1")
-            elif operator == "StandardNormalVariate":
-                preprocessing.append((operator, ()))
-            elif operator == "SavitzkyGolay":
-                preprocessing.append((operator, savgol_params(params)))
-            else:
-                raise DefinitionError(f"class {step['class']!r} is no step")
-        elif isinstance(step.get("model"), dict):
-            if model is not None:
-                raise DefinitionError("a pipeline has one model")
-            model = step
-        else:
-            raise DefinitionError(f"not a step: {step!r}")
-    if model is None:
-        raise DefinitionError("a pipeline needs a model")
-    if operator_of(model["model"].get("class")) != "PLSRegression":
-        raise DefinitionError(f"class {model['model'].get('class')!r} is no model")
-    return Plan(test_size, tuple(preprocessing), component_counts(model))
+    parts = [_part(step) for step in load(source).pipeline]
+    sizes, transforms, models = ([v for r, v in parts if r == role] for role in ("splitter", "transform", "model"))
+    if len(models) != 1:
+        raise DefinitionError("a pipeline has one model" if models else "a pipeline needs a model")
+    return Plan(sizes[-1] if sizes else None, tuple(transforms), models[0])
 
 
 def parity(a: Any, b: Any) -> dict[str, bool]:

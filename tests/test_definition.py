@@ -77,3 +77,14 @@ def test_parity_of_two_definitions():
     steps = [KS, SNV, SWEEP]
     assert all(parity(steps, json.dumps(steps)).values())
     assert parity(steps, [SNV, SWEEP]) == {"classes": False, "random_state": True, "name": True, "plan": False}
+
+
+def test_class_names_below_one_root(monkeypatch):
+    from spectrine.plans import definition as D
+
+    names = [f"lib.{n}" for n in D.BELOW_ROOT] + list(D.WHOLE)
+    assert len(names) == 9 and all(D.operator_of(n) for n in names)
+    for bad in ("lib.operators.SNV", "a.b.operators.transforms.SNV", "operators.transforms.SNV", "", None, "x.sklearn.cross_decomposition.PLSRegression", "li b.operators.transforms.SNV"):
+        assert D.operator_of(bad) is None
+    monkeypatch.setattr(D, "ROOTS", {"lib"})
+    assert all(D.operator_of(n) for n in names) and D.operator_of("other.operators.transforms.SNV") is None
