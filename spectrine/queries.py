@@ -703,8 +703,7 @@ def _archive_bytes(name: str, refs: dict, members: dict, version: int, flip: boo
 
 def _archives(spark: SparkSession) -> str:
     """A folder of three small archives, written through Spark's file system to the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/spectrine-archives"
-    root = f"{root.rstrip('/')}/archives"
+    root = f"{shared_dir(spark)}/archives"
     refs, members = {"model": ["m.bin"], "package": ["p.json"]}, {"m.bin": b"model", "p.json": b"{}"}
     made = {
         "v1.zip": _archive_bytes("one", refs, members, 1), "v2.zip": _archive_bytes("two", refs, members, 2),
