@@ -12,8 +12,8 @@ A histogram of few words lies away from any reference by chance alone, by about
 than ``min_texts`` texts to refer to.
 
 * Common words are heavy hitters: one frequent-items sketch a language gives
-  candidates, whose error (3.5 / ``TRACKED``) lies far below ``share``, so none is
-  missed; an exact count decides.
+  candidates. It never counts too little, and too much by 3.5 / ``TRACKED`` of the words at
+  most, so none is missed and few are there in vain; the exact count decides.
 * A reference counts every distinct text once, as parts per million, so neither long
   texts nor a text with a million copies bend it. Sums are of whole numbers and do not
   depend on the order of rows.
@@ -33,17 +33,21 @@ from .skew import fresh, weighted_lookup
 
 MIN_BASE_WORDS = 20
 MAX_REPEATED = 30
+WINDOW = 8
 SHARE_PER_MILLE = 3
 MIN_WORDS = 50
 MIN_TEXTS = 20
 CHAR_BOUND = (0.10, 1.2)
 WORD_BOUND = (0.10, 2.2)
-#: Counters of a sketch, and how many of them are asked for; at most 1,000 / (3 - 0.43) words can reach the share.
-TRACKED, ASKED = 8192, 1000
-SLOTS = 1024
+#: Counters of a sketch, how many of them are asked for (fewer than 1,000 / 2.5 words can seem to reach the share),
+#: and the tasks whose sketches merge at a time.
+TRACKED, ASKED, FAN = 8192, 1000, 512
+#: Sizes and seeds of a language's word table; the first pair under which no two of its words share a place is taken.
+SLOTS, SEEDS = (2**10, 2**13, 2**16, 2**20), 16
 #: So many languages are broadcast, of about 20 KB each; more are joined by their key.
 BROADCAST_LANGUAGES = 2000
 PPM = 1_000_000
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Character classes, cut out of a text one after another; what none of them takes is the last bin.
@@ -63,15 +67,19 @@ def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda n, x: n + x)
 
 
-def repeated_words(words: Column, width: int = 8) -> Column:
-    """How many words stand in a window of ``width`` (a power of two) words that the array holds twice or more.
+def _windows(words: Column, width: int = WINDOW) -> Column:
+    """A 64-bit hash of each window of ``width`` (a power of two) words, by doubling: of 2 words, of 4, of 8."""
 
-    Windows are told apart by 64-bit hashes, made by doubling: a hash of 2 words, of
-    4, of 8. Sorted by hash, equal windows are neighbours.
-    """
+    def through(h: Column, step: int) -> Column:
+        if step == width:
+            return F.slice(h, 1, F.greatest(F.size(h) - (width - 1), F.lit(0)))
+        return let(F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step))), lambda longer: through(longer, 2 * step))
+
+    return let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: through(h, 1))
 
-    def doubled(step: int):
-        return lambda h: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step)))
+
+def repeated_words(windows: Column, width: int = WINDOW) -> Column:
+    """How many words stand in a window that the array of windows holds twice or more; equal windows are neighbours once sorted."""
 
     def covered(at: Column) -> Column:
         gaps = F.transform(at, lambda p, i: F.least(F.lit(width), F.coalesce(F.get(at, i + 1) - p, F.lit(width))))
@@ -82,42 +90,28 @@ def repeated_words(words: Column, width: int = 8) -> Column:
         found = F.filter(s, lambda x, i: same(x, i - 1) | same(x, i + 1))
         return let(F.sort_array(F.transform(found, lambda x: x["at"])), covered)
 
-    def count(h: Column) -> Column:
-        windows = F.slice(h, 1, F.greatest(F.size(h) - (width - 1), F.lit(0)))
-
-        def judge(w: Column) -> Column:
-            keyed = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
-            return F.when(F.size(F.array_distinct(w)) < F.size(w), let(keyed, twice)).otherwise(F.lit(0).cast("long"))
-
-        return let(windows, judge)
-
-    hashes, step = F.transform(words, lambda x: F.xxhash64(x)), 1
-    chain = []
-    while step < width:
-        chain.append(doubled(step))
-        step *= 2
-
-    def through(h: Column, rest: list) -> Column:
-        return let(h, lambda x: through(rest[0](x), rest[1:])) if rest else let(h, count)
-
-    return through(hashes, chain)
-
-
-def _base(text: Column) -> Column:
-    """A struct of the base counts of a text that is not null."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    dup_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))
-    return let(
-        _words(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            symbols.cast("long").alias("n_symbols"),
-            dup_lines.cast("long").alias("n_dup_lines"),
-            repeated_words(w).alias("n_repeat_words"),
-        ),
+    keyed = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(keyed, twice)).otherwise(F.lit(0).cast("long"))
+
+
+def base_counts(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the five counts of a text that is not null; columns of these names must not be there."""
+    words, windows = (fresh(c, [*rows.columns, *MEASURES]) for c in ("_words", "_windows"))
+    rows = rows.withColumn(words, _words(F.col(text)))
+    rows = rows.withColumn(windows, _windows(F.col(words)))
+    lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    counts = (
+        F.size(words),
+        F.length(F.array_join(words, "")),
+        F.length(F.regexp_replace(F.col(text), r"[^#*$%&|<>]+", "")),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
+        repeated_words(F.col(windows)),
     )
+    return rows.withColumns({m: c.cast("long") for m, c in zip(MEASURES, counts, strict=True)}).drop(words, windows)
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_BASE_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
 
 
 def _class_counts(text: Column) -> Column:
@@ -131,27 +125,32 @@ def _class_counts(text: Column) -> Column:
     return cut(text, CLASSES, [F.length(text)])
 
 
-def _bins(words: Column, slots: Column) -> Column:
-    """The bin of every word that ``slots`` knows, in the order of the words."""
+def _place(word: Column, size: Column, seed: Column) -> Column:
+    return F.hash(word, seed).bitwiseAND(size - 1)
+
 
-    def one(word: Column) -> Column:
-        here = F.get(slots, F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int"))
-        return F.get(F.filter(here, lambda s: s["word"] == word), F.lit(0))["bin"]
+def _bins(words: Column, table: Column) -> Column:
+    """The place of every word that the table knows, in the order of the words."""
 
-    return F.filter(F.transform(words, one), lambda b: b.isNotNull())
+    def places(slots: Column, last: Column, seed: Column) -> Column:
+        at = lambda w: F.hash(w, seed).bitwiseAND(last)
+        return F.transform(F.filter(words, lambda w: F.get(slots, at(w)) == w), at)
 
+    # the table's fields are read once a row, not once a word
+    return let(table["slots"], lambda slots: let(table["size"] - 1, lambda last: let(table["seed"], lambda seed: places(slots, last, seed))))
 
-def _word_counts(text: Column, slots: Column, n: Column) -> Column:
-    """Counts of the ``n`` common words and, last, of all others; null without common words."""
+
+def _word_counts(text: Column, table: Column) -> Column:
+    """Counts of the table's words and, last, of all others; null without a table."""
 
     def counts(w: Column) -> Column:
         def per_bin(bins: Column) -> Column:
-            each = F.transform(F.sequence(F.lit(0), n - 1), lambda b: (F.size(bins) - F.size(F.array_remove(bins, b))).cast("long"))
+            each = F.transform(table["words"]["place"], lambda k: (F.size(bins) - F.size(F.array_remove(bins, k))).cast("long"))
             return F.concat(each, F.array((F.size(w) - F.size(bins)).cast("long")))
 
-        return let(_bins(w, slots), per_bin)
+        return let(_bins(w, table), per_bin)
 
-    return F.when(n > 0, let(_plain_words(text), counts))
+    return F.when(table.isNotNull(), let(_plain_words(text), counts))
 
 
 def _distance(counts: Column, reference: Column) -> Column:
@@ -168,16 +167,25 @@ def _distance(counts: Column, reference: Column) -> Column:
     return let(counts, lambda c: let(_total(c), lambda n: F.when(n > 0, spread(c, n))))
 
 
-def _slotted(words: DataFrame) -> DataFrame:
-    """(lang, common, slots, n) from (lang, word): a language's words in order, and their bins by hash."""
+def _tables(words: DataFrame) -> DataFrame:
+    """(lang, table) from (lang, word): a language's words by place, and the word at every place, null where there is none."""
+    pairs = F.array(*[F.struct(F.lit(size).alias("size"), F.lit(seed).alias("seed")) for size in SLOTS for seed in range(SEEDS)])
+    apart = lambda o: F.size(F.array_distinct(F.transform("common", lambda w: _place(w, o["size"], o["seed"])))) == F.size("common")
+    nothing = F.lit(None).cast("string")
+
+    def table(words: Column, o: Column) -> Column:
+        gap = lambda x, i: x["place"] - F.coalesce(F.get(words, i - 1)["place"], F.lit(-1)) - 1
+        before = F.transform(words, lambda x, i: F.concat(F.array_repeat(nothing, gap(x, i)), F.array(x["word"])))
+        after = F.array_repeat(nothing, o["size"] - 1 - F.element_at(words, -1)["place"])
+        return F.struct(o["size"].alias("size"), o["seed"].alias("seed"), words.alias("words"), F.concat(F.flatten(before), after).alias("slots"))
 
-    def slots(common: Column) -> Column:
-        known = F.transform(common, lambda w, i: F.struct(w.alias("word"), i.alias("bin"), F.pmod(F.xxhash64(w), F.lit(SLOTS)).alias("slot")))
-        return let(known, lambda k: F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.filter(k, lambda x: x["slot"] == s)))
+    def placed(o: Column) -> Column:
+        known = F.sort_array(F.transform("common", lambda w: F.struct(_place(w, o["size"], o["seed"]).alias("place"), w.alias("word"))))
+        return let(known, lambda words: table(words, o))
 
-    # at most 1,000 / share words a language
-    lists = words.groupBy("lang").agg(F.sort_array(F.collect_list("word")).alias("common"))
-    return lists.select("lang", "common", slots(F.col("common")).alias("slots"), F.size("common").alias("n"))
+    lists = words.groupBy("lang").agg(F.collect_list("word").alias("common"))  # at most 1,000 / share words a language
+    chosen = F.get(F.filter(pairs, apart), F.lit(0))
+    return lists.select("lang", let(chosen, placed).alias("table"))
 
 
 def _beside(rows: DataFrame, table: DataFrame, lang: str, counts: DataFrame) -> DataFrame:
@@ -201,7 +209,7 @@ def references(
 ) -> tuple[DataFrame, DataFrame]:
     """Per language (null: ``und``): common words and both reference histograms; and the row counts of languages.
 
-    The first has (lang, common, slots, n, char_reference, word_reference) for
+    The first has (lang, table, char_reference, word_reference) for
     languages with ``min_texts`` distinct texts that pass the base rules and have
     ``min_words`` words. Histograms of words are null for a language without common
     words.
@@ -209,29 +217,45 @@ def references(
     scratch = Scratch(docs.sparkSession, "quality_rules")
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     words = rows.select("lang", F.explode(_plain_words(F.col("text"))).alias("word"))
-    sketch = F.expr(f"approx_top_k(word, {ASKED}, {TRACKED})")
-    found = scratch.save(words.groupBy("lang").agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")), "found")
+    merged = words.groupBy("lang", F.expr(f"spark_partition_id() div {FAN}").alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    found = merged.groupBy("lang").agg(F.expr("approx_top_k_combine(s)").alias("s"), F.sum("n").alias("total"))
+    found = scratch.save(found.select("lang", "total", F.expr(f"approx_top_k_estimate(s, {ASKED})").alias("top")), "found")
     likely = found.select("lang", "total", F.inline("top")).where(F.col("count") * 1000 >= F.col("total") * share_per_mille)
     counts = scratch.save(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "counts")
 
-    candidates = scratch.save(_slotted(likely.select("lang", F.col("item").alias("word"))), "candidates")
-    hits = _beside(rows, candidates, "lang", counts).select("lang", F.explode(_bins(_plain_words(F.col("text")), F.col("slots"))).alias("bin"))
-    exact = hits.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("seen")).join(found.select("lang", "total"), "lang")
-    exact = exact.where(F.col("seen") * 1000 >= F.col("total") * share_per_mille)
-    common = exact.join(candidates.select("lang", F.posexplode("common").alias("bin", "word")), ["lang", "bin"])
-    common = scratch.save(_slotted(common.select("lang", "word")), "common")
+    candidates = scratch.save(_tables(likely.select("lang", F.col("item").alias("word"))), "candidates")
+
+    usable = base_counts(rows, "text").select("lang", "text", (~_failed() & (F.col("n_words") >= min_words)).alias("usable"))
+    key = (F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
+    small = lambda c: c.cast("array<int>")
+    chars, counted = small(_class_counts(F.col("text"))), small(_word_counts(F.col("text"), F.col("table")))
+    figures = _beside(usable, candidates, "lang", counts).select("lang", *key, "usable", chars.alias("char"), counted.alias("word"))
+    figures = scratch.save(figures, "figures")
 
-    judged = rows.withColumn("base", _base(F.col("text"))).where((F.col("base.n_words") >= min_words) & ~_failed(F.col("base")))
-    judged = _beside(judged, common, "lang", counts)
+    # what the candidates count over all texts decides, exactly, which of them are common
+    seen = figures.select("lang", F.posexplode("word").alias("bin", "x")).groupBy("lang", "bin").agg(F.sum("x").alias("x"))
+    named = candidates.select("lang", F.posexplode("table.words.word").alias("bin", "word"))
+    exact = seen.join(named, ["lang", "bin"]).join(found.select("lang", "total"), "lang").where(F.col("x") * 1000 >= F.col("total") * share_per_mille)
+    common = scratch.save(_tables(exact.select("lang", "word")), "common")
+    known = candidates.select("lang", F.col("table.words.word").alias("known")).join(common, "lang")
+    bins = known.select("lang", F.transform("table.words", lambda w: F.array_position("known", w["word"]).cast("int") - 1).alias("bins"))
+
+    # copies of a text meet in the tasks already
+    texts = figures.where("usable").dropDuplicates(["lang", "a", "b"]).select("lang", "char", "word")
+    texts = _beside(texts, bins, "lang", counts)
 
     def ppm(c: Column) -> Column:
-        return let(_total(c), lambda n: F.transform(c, lambda x: F.floor(x * PPM / F.greatest(n, F.lit(1))).cast("int")))
+        shares = lambda x, n: F.transform(x, lambda v: F.floor(v.cast("long") * PPM / F.greatest(n, F.lit(1))).cast("int"))
+        return let(c, lambda x: let(_total(x), lambda n: shares(x, n)))
 
-    # copies of a text meet here, in the map-side aggregation already
-    distinct = judged.groupBy("lang", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).agg(
-        F.first(F.struct(ppm(_class_counts(F.col("text"))).alias("char"), ppm(_word_counts(F.col("text"), F.col("slots"), F.col("n"))).alias("word"))).alias("h")
-    )
-    texts = scratch.save(distinct.select("lang", "h.*"), "texts")
+    def chosen(word: Column) -> Column:
+        held = F.transform("bins", lambda i: F.get(word, i))
+        return let(held, lambda h: F.concat(h, F.array((_total(word) - _total(h)).cast("int"))))
+
+    word = F.when(F.col("bins").isNotNull(), ppm(chosen(F.col("word"))))
+    texts = scratch.save(texts.select("lang", ppm(F.col("char")).alias("char"), word.alias("word")), "texts")
     enough = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts).select("lang")
     out = enough.join(common, "lang", "left")
     for kind in ("char", "word"):
@@ -242,10 +266,6 @@ def references(
     return scratch.save(out, "references"), counts
 
 
-def _failed(base: Column, min_words: int = MIN_BASE_WORDS, max_repeated: int = MAX_REPEATED) -> Column:
-    return (base["n_words"] < min_words) | (base["n_repeat_words"] * 100 > base["n_words"] * max_repeated)
-
-
 def quality_rules(
     docs: DataFrame,
     *,
@@ -272,25 +292,23 @@ def quality_rules(
     table.
     """
     table, counts = references(docs, text=text, lang=lang, share_per_mille=share_per_mille, min_words=min_words, min_texts=min_texts)
-    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    added = (*measures, "base_failed", "char_distance", "word_distance", "kept")
+    added = (*MEASURES, "base_failed", "char_distance", "word_distance", "kept")
     kept = [c for c in docs.columns if c not in added]
-    names = {c: fresh(f"_{c}", [*docs.columns, *added]) for c in ("lang", "text", "base", *table.columns[1:])}
+    names = {c: fresh(f"_{c}", [*docs.columns, *added]) for c in ("lang", "text", *table.columns[1:])}
     rows = docs.select(*kept, F.coalesce(F.col(lang), F.lit("und")).alias(names["lang"]), F.coalesce(F.col(text), F.lit("")).alias(names["text"]))
     rows = _beside(rows, table.withColumnsRenamed({c: names[c] for c in table.columns[1:]}), names["lang"], counts)
     col = {k: F.col(v) for k, v in names.items()}
-    rows = rows.withColumn(names["base"], _base(col["text"]))
-    rows = rows.select(*kept, *[col["base"][m].alias(m) for m in measures], _failed(col["base"]).alias("base_failed"), *[col[c] for c in names if c not in ("base", "lang")])
+    rows = base_counts(rows, names["text"]).withColumn("base_failed", _failed())
     judged = ~F.col("base_failed") & (F.col("n_words") >= min_words)
     rows = rows.withColumn("char_distance", F.when(judged & col["char_reference"].isNotNull(), _distance(_class_counts(col["text"]), col["char_reference"])))
-    counted = _word_counts(col["text"], col["slots"], col["n"])
+    counted = _word_counts(col["text"], col["table"])
     rows = rows.withColumn("word_distance", F.when(judged & col["word_reference"].isNotNull(), _distance(counted, col["word_reference"])))
 
     def near(distance: str, bound: tuple[float, float]) -> Column:
         return F.coalesce(F.col(distance) <= F.lit(bound[0]) + F.lit(bound[1]) / F.sqrt(F.col("n_words").cast("double")), F.lit(True))
 
     verdict = ~F.col("base_failed") & near("char_distance", char_bound) & near("word_distance", word_bound)
-    return rows.select(*kept, *measures, "base_failed", "char_distance", "word_distance", verdict.alias("kept"))
+    return rows.select(*kept, *MEASURES, "base_failed", "char_distance", "word_distance", verdict.alias("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

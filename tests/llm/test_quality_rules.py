@@ -115,6 +115,13 @@ def test_languages_joined_by_key(documents, rows, monkeypatch):
     assert {r.doc_id: r.kept for r in Q.quality_rules(docs, min_words=25, min_texts=5).collect()} == want
 
 
+def test_words_near_the_share_are_counted(documents, rows, monkeypatch):
+    docs = documents([(i, text, lang) for i, (lang, text) in enumerate(rows)])
+    monkeypatch.setattr(Q, "TRACKED", 1024)  # the error is as large as the share then
+    got = [r.kept for r in Q.quality_rules(docs, min_words=25, min_texts=5).orderBy("doc_id").collect()]
+    assert got == [v[-1] for v in verdicts(rows, 25, 5)]
+
+
 def test_windows_that_overlap(spark):
     cases = ["a b c d e f g h a b c d e f g h", "x " * 9, "x " * 8, "a b c d e f g h i a b c d e f g h", "", "a"]
     got = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
@@ -123,7 +130,7 @@ def test_windows_that_overlap(spark):
 
 
 def test_edges_and_clashing_columns(edge, documents):
-    clash = edge.select("*", *[F.lit("mine").alias(c) for c in ("_lang", "_text", "_base", "slots", "n", "common", "char_reference", "weight", "kept", "n_words")])
+    clash = edge.select("*", *[F.lit("mine").alias(c) for c in ("_lang", "_text", "_base", "slots", "n", "table", "char_reference", "weight", "kept", "n_words")])
     got = Q.quality_rules(clash).collect()
     assert len(got) == edge.count()
     assert all(r["_text"] == r["slots"] == r["n"] == r["weight"] == "mine" for r in got)
