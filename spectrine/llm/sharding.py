@@ -13,9 +13,11 @@ Keys are texts: equal texts fall on one place and stay together unless a shard's
 bound cuts through them, as it must for a group larger than a shard.
 
 Rows are never gathered by arc. Counts per (place, part) are aggregated, where a
-place with more than 1 / (``HOT`` * SLOTS) of all rows is dealt to ``PARTS`` parts
-by row hash; the table of counts is bounded by the ring's size, and the walk over
-arcs runs on it. A row then needs only its number within its (place, part).
+place with more rows than a bound is dealt by row hash to as many parts as keep a part
+near it. The bound is 1 / ``PARTS`` of all rows, and ``LEAST`` rows at least, so there are no more than
+``PARTS`` further parts whatever the rows; the table of counts is bounded by them and the
+ring's size, and the walk over arcs runs on it. A row then needs only its number
+within its (place, part).
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 SHARDS = 24
 VNODES = 64
 SLOTS = 16_384
-HOT, PARTS = 0.25, 64
+PARTS, LEAST = 8192, 256
 
 
 def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -87,6 +89,7 @@ def shard(
     ident: str = "doc_id",
     text: str = "text",
     slots: int = SLOTS,
+    least: int = LEAST,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs``.
 
@@ -109,17 +112,18 @@ def shard(
     by_place = rows.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
     places = {r.place: r.n for r in by_place.collect()}  # at most `slots` rows
     total = sum(places.values())
-    mean = max(1, total // slots)
-    hot = sorted(p for p, n in places.items() if n > mean / HOT and n > PARTS)  # fewer than slots * HOT
-    part = F.when(
-        F.array_contains(F.array(*[F.lit(p) for p in hot]), F.col("place")) if hot else F.lit(False),
-        F.pmod(F.xxhash64("doc_id", "spot", F.lit(5)), F.lit(PARTS)),
-    ).otherwise(F.lit(0))
-    rows = rows.withColumn("part", part.cast("int"))
+    bound = max(least, total // PARTS)
+    dealt = {p: -(-n // bound) for p, n in places.items() if n > bound}  # PARTS places at most, as many parts beyond them
     sub = {}
-    if hot:
-        for r in rows.where(F.col("place").isin(hot)).groupBy("place", "part").agg(F.count(F.lit(1)).alias("n")).collect():
-            sub.setdefault(r.place, []).append((r.part, r.n))  # at most slots * HOT * PARTS rows
+    if dealt:
+        hot = _table(spark, sorted(dealt.items()), "place long, parts int")
+        rows = rows.join(F.broadcast(hot), "place", "left")
+        part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "spot", F.lit(5)), F.col("parts")))
+        rows = rows.withColumn("part", part.cast("int")).drop("parts")
+        for r in rows.join(F.broadcast(hot), "place", "left_semi").groupBy("place", "part").agg(F.count(F.lit(1)).alias("n")).collect():
+            sub.setdefault(r.place, []).append((r.part, r.n))  # at most 2 * PARTS rows
+    else:
+        rows = rows.withColumn("part", F.lit(0))
 
     nodes = ring_nodes(spark, shards, vnodes, slots)
     ends, owners = [p for p, _ in nodes], [s for _, s in nodes]

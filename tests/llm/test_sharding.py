@@ -65,3 +65,66 @@ def test_edges(edge, documents):
     assert sum(got.values()) == 400 and max(got.values()) - min(got.values()) <= 1
     plan = S.shard(same)._jdf.queryExecution().toString()
     assert "Python" not in plan and "ExistingRDD" not in plan.replace("Scan ExistingRDD[doc_id", "")
+
+
+def twin(rows, shards, places, nodes):
+    """The whole operator row by row: rows stand in the order of the ring, shards take them in rounds of one node each.
+
+    ``rows`` are (spot, crc, size, doc_id) with their place in ``places``; null ids sort first.
+    """
+    ends, owners = [p for p, _ in nodes], [s for _, s in nodes]
+    arcs = [[] for _ in nodes]
+    for place in [*range(ends[-1] + 1, S.SLOTS), *range(ends[-1] + 1)]:
+        arc = next((k for k, e in enumerate(ends) if e >= place), 0)
+        for r in sorted((r for r in rows if places[r] == place), key=lambda r: (*r[:3], r[3] is not None, r[3] or 0)):
+            arcs[arc].append(r)
+    order = list(dict.fromkeys(owners)) + [s for s in range(shards) if s not in owners]
+    room = {s: len(rows) // shards + (k < len(rows) % shards) for k, s in enumerate(order)}
+    held, hop = {s: [] for s in order}, 0
+    while any(arcs):
+        for k, arc in enumerate(arcs):
+            s = owners[(k + hop) % len(owners)]
+            while arc and len(held[s]) < room[s]:
+                held[s].append(arc.pop(0))
+        hop += 1
+    return {(r, s, slot) for s, rs in held.items() for slot, r in enumerate(rs)}
+
+
+@pytest.mark.parametrize(("n", "shards"), [(5, 24), (400, 24), (701, 25), (300, 3)])
+def test_whole_operator_equals_its_twin(spark, documents, words, n, shards):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(n)
+    pool = [None, "", *[words(rng, 4) for _ in range(n // 2)]]
+    df = documents([(i if i % 11 else None, rng.choice(pool) if i % 4 else "a hot text") for i in range(n)])
+    spot = F.xxhash64(F.col("text"), F.when(F.col("text").isNull(), 1).otherwise(0))
+    spots = {r.text: (r.spot, r.place) for r in df.select("text", spot.alias("spot"), F.pmod(spot, F.lit(S.SLOTS)).alias("place")).collect()}
+    rows = [(spots[r.text][0], zlib.crc32((r.text or "").encode()), len((r.text or "").encode()) + 8, r.doc_id) for r in df.collect()]
+    places = {r: spots[t][1] for r, t in zip(rows, [x.text for x in df.collect()])}
+    want = twin(rows, shards, places, S.ring_nodes(spark, shards, S.VNODES))
+    got = S.shard(df, shards=shards, least=10**9).collect()  # one part a place, so that the order within a place is known
+    by_slot = Counter((r.text_crc32, r.size, r.doc_id, r.shard, r.slot) for r in got)
+    assert by_slot == Counter((r[1], r[2], r[3], s, slot) for r, s, slot in want) and len(got) == n
+
+
+def test_one_more_shard_moves_few_rows(documents, words):
+    rng = random.Random(24)
+    df = documents([(i, words(rng, 3)) for i in range(6000)])
+    before = {r.doc_id: r.shard for r in S.shard(df, shards=24).collect()}
+    after = {r.doc_id: r.shard for r in S.shard(df, shards=25).collect()}
+    moved = sum(before[i] != after[i] for i in before)
+    gained = sum(s == 24 for s in after.values())
+    assert gained == 240 and max(Counter(after.values()).values()) - min(Counter(after.values()).values()) <= 1
+    assert moved < 0.45 * len(before)  # a plain remainder by 25 would move 96 %, no overflow at all 4 %
+    same = {r.doc_id: r.shard for r in S.shard(df.repartition(5), shards=24).collect()}
+    assert same == before
+
+
+def test_hot_places_are_dealt(documents):
+    df = documents([(i, "hot") for i in range(3000)] + [(5000 + i, f"t{i}") for i in range(300)])
+    for least in (16, 300, 10**6):
+        got = S.shard(df, shards=7, least=least).collect()
+        count = Counter(r.shard for r in got)
+        assert len(got) == 3300 and max(count.values()) - min(count.values()) <= 1
+        for s in count:
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(count[s]))
