@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
@@ -84,8 +84,8 @@ def conditional_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFram
     return df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
 
 
-def uniform(df: DataFrame, *columns: str) -> DataFrame:
-    """One row: for each column, whether all rows hold one and the same value."""
+def uniform(df: DataFrame | GroupedData, *columns: str) -> DataFrame:
+    """One row, or one a group: for each column, whether all rows hold one and the same value."""
     return df.agg(*[(F.min(c).eqNullSafe(F.max(c)) & (F.count(c) == F.count(F.lit(1)))).alias(f"one_{c}") for c in columns])
 
 

@@ -26,7 +26,7 @@ from .operators import audit, matrix, pls, split
 from .oracles import SPECTRA, query, r6
 from .plans import workspace
 from .plans.definition import component_counts
-from .plans.runner import Model, run
+from .plans.runner import Model, Session, dumps, preflight, run
 from .shared import shared_dir
 from .sources import archive, datasets
 
@@ -160,6 +160,18 @@ def lossless_reshape(spark, sf_dir):
     return matrix.lossless(matrix.even_sample(df, 60), df)
 
 
+_CHANGED = "CASE WHEN i % 7 = 0 THEN round_even(v, 1) ELSE v END"
+
+
+@register("lossless_changed", query(SPECTRA, f"SELECT (SELECT count(*) FROM embeddings WHERE vec_id % 3 <> 1) AS n_selected, (SELECT count(*) FROM embeddings WHERE vec_id % 3 = 2 AND vec_id % 5 = 0) AS n_missing, count(*) FILTER (WHERE {_CHANGED} <> v AND i % 3 <> 1 AND NOT (i % 3 = 2 AND i % 5 = 0)) AS n_different FROM l"))
+def lossless_changed(spark, sf_dir):
+    """A selection of which some rows were rounded and some have no source."""
+    df = spectra(spark, sf_dir)
+    moved = F.when(F.col("sample_id") % 7 == 0, F.transform("spectrum", lambda v: F.bround(v, 1))).otherwise(F.col("spectrum"))
+    selected = df.where("sample_id % 3 <> 1").withColumn("spectrum", moved)
+    return matrix.lossless(selected, df.where("NOT (sample_id % 3 = 2 AND sample_id % 5 = 0)"))
+
+
 @register("partition_label", "SELECT vec_id AS sample_id, p AS position, CASE WHEN p % 5 = 0 THEN 'test' ELSE 'train' END AS split_original, 'batch_' || (p % 3) AS batch FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS p FROM embeddings)")
 def partition_label(spark, sf_dir):
     df = matrix.with_position(spectra(spark, sf_dir))
@@ -321,6 +333,37 @@ for _name, _steps in DEFINITIONS.items():
     )
 
 
+@register("targets_of_run", query(_SOURCES["ks_snv_pls"], f"SELECT i AS sample_id, {r6('y')} AS target FROM pred4", recursive=True))
+def targets_of_run(spark, sf_dir):
+    """The test rows of a run and their targets."""
+    return run(DEFINITIONS["ks_snv_pls"], spectra(spark, sf_dir)).targets.select("sample_id", rounded("target"))
+
+
+_EVIDENCE = f"""SELECT 'rows' AS name, count(*)::DOUBLE AS value FROM embeddings UNION ALL SELECT 'cols', max(len(embedding)) FROM embeddings
+UNION ALL SELECT 'train', count(*) - ceil(count(*) * 0.3) FROM embeddings UNION ALL SELECT 'test', count(*) FROM pred4
+UNION ALL SELECT 'selected n_components', 4 UNION ALL SELECT 'rmse of 4', {r6('sqrt(avg((p - y) * (p - y)))')} FROM pred4"""
+
+
+@register("run_evidence", query(_SOURCES["ks_snv_pls"], _EVIDENCE, recursive=True))
+def run_evidence(spark, sf_dir):
+    """What a run reports of itself, as rows."""
+    found = run(DEFINITIONS["ks_snv_pls"], spectra(spark, sf_dir)).evidence()
+    rows = [("rows", found["rows"]), ("cols", found["cols"]), *found["split"].items(), ("selected n_components", found["selected"]["n_components"])]
+    rows += [(f"rmse of {v['n_components']}", v["rmse"]) for v in found["variants"]]
+    return spark.createDataFrame([(k, float(v)) for k, v in rows], "name string, value double").select("name", rounded("value"))
+
+
+@register("session_predict", query(_SOURCES["snv_pls"], f"SELECT i AS sample_id, {r6('p')} AS prediction FROM pred4"))
+def session_predict(spark, sf_dir):
+    """A session's model as a document, hydrated, checked with a row of zeros and applied to the table."""
+    df = spectra(spark, sf_dir)
+    result = run(DEFINITIONS["snv_pls"], df)
+    doc = Session(result.definition, result.model, "", result.evidence()).export()
+    model = Model.from_dict(json.loads(dumps(doc["model"])))
+    preflight(spark, model)
+    return model.transform(df).select("sample_id", rounded("prediction"))
+
+
 @register("model_replay", query(_SOURCES["snv_pls"], f"SELECT i AS sample_id, {r6('p')} AS prediction FROM pred4"))
 def model_replay(spark, sf_dir):
     """The saved form of a fitted model, read again and applied."""
@@ -558,6 +601,21 @@ def stable_hash_nested(spark, sf_dir):
     return orders.select("o_orderkey", stable_hash_of(value).alias("sha256"))
 
 
+@register("compare_gaps", query((*SPECTRA, *oracles.pls("l", 4)), f"SELECT CAST(i % 2 AS INTEGER) AS variant_idx, count(*) FILTER (WHERE i % 11 <> 0 AND i % 13 <> 0) AS n_common, count(*) FILTER (WHERE (i % 11 = 0) <> (i % 13 = 0)) AS n_unmatched, 0.0 AS max_abs_target, {r6('max(abs(a.p - b.p)) FILTER (WHERE i % 11 <> 0 AND i % 13 <> 0)')} AS max_abs_prediction, max(abs(a.p - b.p)) FILTER (WHERE i % 11 <> 0 AND i % 13 <> 0) <= 0.5 AND count(*) FILTER (WHERE (i % 11 = 0) <> (i % 13 = 0)) = 0 AS agrees FROM pred2 a JOIN pred4 b USING (i) GROUP BY i % 2"))
+def compare_gaps(spark, sf_dir):
+    """Two runs of which each lacks some rows, by variant."""
+    a, b = (_predictions(spark, sf_dir, k).withColumn("variant_idx", (F.col("sample_id") % 2).cast("int")) for k in (2, 4))
+    out = audit.compare_runs(a.where("sample_id % 11 <> 0"), b.where("sample_id % 13 <> 0"), tolerance=0.5)
+    return out.withColumn("max_abs_prediction", rounded("max_abs_prediction"))
+
+
+@register("uniform_by_order", "SELECT count(*) FILTER (WHERE a = b) AS n_one_status, count(*) FILTER (WHERE a <> b) AS n_several FROM (SELECT l_orderkey, min(l_linestatus) AS a, max(l_linestatus) AS b FROM lineitem GROUP BY l_orderkey)")
+def uniform_by_order(spark, sf_dir):
+    """Uniformity within groups, which some have and some have not."""
+    by = audit.uniform(table(spark, sf_dir, "lineitem").groupBy("l_orderkey"), "l_linestatus")
+    return by.agg(F.count_if("one_l_linestatus").alias("n_one_status"), F.count_if(~F.col("one_l_linestatus")).alias("n_several"))
+
+
 @register("case_max", "SELECT count(*) AS n_cases, max(s_acctbal) AS max_s_acctbal FROM supplier")
 def case_max(spark, sf_dir):
     return audit.case_maxima(table(spark, sf_dir, "supplier"), "s_acctbal")
