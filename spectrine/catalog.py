@@ -9,19 +9,29 @@ from types import ModuleType
 from pyspark.sql import DataFrame, SparkSession
 
 from .errors import UnsupportedCapability
+from .plans.definition import BELOW_ROOT, WHOLE
 
 #: Capability levels, weakest first. Fixed values.
 LEVELS = ("metadata", "plan", "execute-local", "execute-remote", "parity-validated")
 SURFACES = ("python", "sql", "streaming")
 
+
+
+def _classes(operator: str) -> list[str]:
+    """The class names of the plan language that stand for an operator, without their packages."""
+    names = (BELOW_ROOT | WHOLE).items()
+    return sorted({name.rsplit(".", 1)[1] for name, found in names if found == operator})
+
+
+#: Ids, kinds and ports of the contract. Class names come from the plan language.
 _CONTROLLERS = (
-    ("split.kennard_stone", "splitter", "Kennard-Stone split", ["KennardStoneSplitter"], ["X"], ["train_indices", "test_indices"], ["test_size"], []),
-    ("preprocess.snv", "transform", "Standard normal variate", ["SNV", "StandardNormalVariate"], ["X"], ["X_transformed"], [], []),
+    ("split.kennard_stone", "splitter", "Kennard-Stone split", _classes("KennardStone"), ["X"], ["train_indices", "test_indices"], ["test_size"], []),
+    ("preprocess.snv", "transform", "Standard normal variate", _classes("StandardNormalVariate"), ["X"], ["X_transformed"], [], []),
     (
-        "preprocess.savgol", "transform", "Savitzky-Golay", ["SavitzkyGolay"], ["X"], ["X_transformed"],
+        "preprocess.savgol", "transform", "Savitzky-Golay", _classes("SavitzkyGolay"), ["X"], ["X_transformed"],
         ["window_length", "polyorder", "deriv", "mode", "cval"], [],
     ),
-    ("model.pls_regression", "model", "PLS regression", ["PLSRegression"], ["X", "y"], ["predictions", "model"], ["n_components", "_range_"], []),
+    ("model.pls_regression", "model", "PLS regression", _classes("PLSRegression"), ["X", "y"], ["predictions", "model"], ["n_components", "_range_"], []),
     (
         "pipeline.spectral", "pipeline", "Spectral pipeline", [], ["pipeline", "dataset"], ["execution_result", "predictions", "model"], [],
         ["split.kennard_stone", "preprocess.snv", "preprocess.savgol", "model.pls_regression"],
@@ -37,9 +47,7 @@ _ARTIFACTS = (
     ("session.json", "spectrine.session.v1", "execute-local", []),
     ("archive.v1", "spectrine.archive.v1", "execute-local", ["extensions"]),
     ("archive.v2", "spectrine.archive.v2", "execute-local", ["extensions"]),
-    ("conformal.result", "external", "metadata", ["guarantee_status", "replay_source"]),
-    ("robustness.summary", "external", "metadata", ["guarantee_status", "spectral_replay"]),
-    ("tuning.summary", "external", "metadata", ["sampler", "pruner", "seed", "persistence"]),
+    ("run", "spectrine.run.v1", "execute-local", []),
 )
 _CONSTANTS = {"ROBUSTNESS_SCENARIO_DISTRIBUTIONS": ["normal", "uniform"]}
 _MODULES = (

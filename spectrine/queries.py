@@ -110,7 +110,7 @@ def prediction_table(spark, sf_dir):
     return back.select("scenario_id", "sample_index", rounded("target"), rounded("prediction"), rounded("residual"))
 
 
-@register("assemble_wide", "SELECT p_partkey AS sample_id, u.j AS j, round([CAST(p_size AS DOUBLE), p_retailprice][u.j], 6) + 0.0 AS value FROM part, unnest([1, 2]) AS u(j)".replace("u.j AS j", "CAST(u.j AS BIGINT) AS j"))
+@register("assemble_wide", "SELECT p_partkey AS sample_id, CAST(u.j AS BIGINT) AS j, round([CAST(p_size AS DOUBLE), p_retailprice][u.j], 6) + 0.0 AS value FROM part, unnest([1, 2]) AS u(j)")
 def assemble_wide(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sample_id"), "p_size", "p_retailprice")
     return matrix.long_form(matrix.assemble_wide(part, ["p_size", "p_retailprice"]))
@@ -742,51 +742,14 @@ def delta_maxima(spark, sf_dir):
 
 # --- generated data, tables of capabilities, archives -------------------------------------------
 
-_NU = "((((1664525 * xor(({a} + 1) * 73856093, ({b} + 1) * 19349663) % 4294967296) + 1013904223) % 4294967296) / 4294967295.0::DOUBLE - 0.5)"
+# Fixed values of the deterministic dataset, as in its generator.
 _CELL = (
-    "0.6 * sin(r / 5.0::DOUBLE + c / 7.0::DOUBLE) + 0.25 * cos(r / 6.0::DOUBLE - c / 11.0::DOUBLE) + 0.002 * (900 + 8 * c) + ((r % 4) - 1.5) * 0.03 + 0.12 * "
-    + _NU.format(a="r", b="c").replace("(((1664525 * xor", "(((1664525 * (xor").replace("% 4294967296) + 1013904223", "% 4294967296)) + 1013904223", 1)
-    + " + 0.03 * sin((r + 1) * (c + 2) / 13.0::DOUBLE)"
+    "0.6 * sin(r / 5.0::DOUBLE + c / 7.0::DOUBLE) + 0.25 * cos(r / 6.0::DOUBLE - c / 11.0::DOUBLE) + 0.002 * (900 + 8 * c) + ((r % 4) - 1.5) * 0.03"
+    " + 0.12 * ((((1664525 * (xor((r + 1) * 73856093, (c + 1) * 19349663) % 4294967296)) + 1013904223) % 4294967296) / 4294967295.0::DOUBLE - 0.5)"
+    " + 0.03 * sin((r + 1) * (c + 2) / 13.0::DOUBLE)"
 )
 
 
-def _archive_bytes(name: str, refs: dict, members: dict, version: int, flip: bool = False) -> bytes:
-    data = archive.pack(archive.template(name, refs, version), members)
-    if flip:  # another byte in the first member
-        at = data.index(b"PK\x03\x04", 4)
-        at += 30 + int.from_bytes(data[at + 26 : at + 28], "little")
-        data = data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :]
-    return data
-
-
-def _archives(spark: SparkSession) -> str:
-    """A folder of three small archives, written through Spark's file system to the shared folder."""
-    root = f"{shared_dir(spark)}/archives"
-    refs, members = {"model": ["m.bin"], "package": ["p.json"]}, {"m.bin": b"model", "p.json": b"{}"}
-    made = {
-        "v1.zip": _archive_bytes("one", refs, members, 1), "v2.zip": _archive_bytes("two", refs, members, 2),
-        "flipped.zip": _archive_bytes("bad", refs, members, 2, flip=True),
-    }
-    jvm = spark._jvm
-    for name, data in made.items():
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-        out.write(bytearray(data))
-        out.close()
-    return root
-
-
-@register("archive_members", "SELECT * FROM (VALUES ('flipped.zip', 'm.bin', 5::BIGINT), ('flipped.zip', 'p.json', 2), ('v1.zip', 'm.bin', 5), ('v1.zip', 'p.json', 2), ('v2.zip', 'm.bin', 5), ('v2.zip', 'p.json', 2)) AS t(archive, path, size)")
-def archive_members(spark, sf_dir):
-    return archive.archive_members(spark, _archives(spark)).where(F.col("refusal_code").isNull() & (F.col("path") != archive.MANIFEST)).select("archive", "path", "size")
-
-
-@register("archive_refusals", "SELECT * FROM (VALUES ('flipped.zip', 'integrity'), ('v1.zip', 'unsupported_capability'), ('v2.zip', 'none')) AS t(archive, refusal_code)")
-def archive_refusals(spark, sf_dir):
-    report = archive.archive_report(spark, _archives(spark), execute=True)
-    return report.select("archive", F.coalesce("refusal_code", F.lit("none")).alias("refusal_code"))
-
-
 @register("synthetic_dataset", f"SELECT r AS sample_id, c + 1 AS j, round({_CELL}, 6) + 0.0 AS value FROM range(0, 40) AS a(r), range(0, 28) AS b(c)")
 def synthetic_dataset(spark, sf_dir):
     return matrix.long_form(datasets.synthetic(spark))
