@@ -198,24 +198,20 @@ def _beside(rows: DataFrame, table: DataFrame, lang: str, counts: DataFrame) ->
     return weighted_lookup(rows, weighed, [lang], weight, how="left")
 
 
-def references(
-    docs: DataFrame,
-    *,
-    text: str = "text",
-    lang: str = "lang",
-    share_per_mille: int = SHARE_PER_MILLE,
-    min_words: int = MIN_WORDS,
-    min_texts: int = MIN_TEXTS,
-) -> tuple[DataFrame, DataFrame]:
-    """Per language (null: ``und``): common words and both reference histograms; and the row counts of languages.
-
-    The first has (lang, table, char_reference, word_reference) for
-    languages with ``min_texts`` distinct texts that pass the base rules and have
-    ``min_words`` words. Histograms of words are null for a language without common
-    words.
+def _prepare(
+    docs: DataFrame, text: str, lang: str, share_per_mille: int, min_words: int, min_texts: int, keep: list[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References by language, row counts of languages, and the figures of every row, all of them saved.
+
+    References are (lang, table, bins, char_reference, word_reference) for languages
+    (null: ``und``) with ``min_texts`` distinct texts that pass the base rules and have
+    ``min_words`` words; ``bins`` are the places of the table's words among the counts
+    in the figures. Histograms of words are null for a language without common words. Figures are
+    the columns ``keep`` as ``row``, the base counts, whether the text is judged, and raw counts.
     """
     scratch = Scratch(docs.sparkSession, "quality_rules")
-    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")] if keep else []
+    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"), *row)
     words = rows.select("lang", F.explode(_plain_words(F.col("text"))).alias("word"))
     merged = words.groupBy("lang", F.expr(f"spark_partition_id() div {FAN}").alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("s"), F.count(F.lit(1)).alias("n")
@@ -227,11 +223,13 @@ def references(
 
     candidates = scratch.save(_tables(likely.select("lang", F.col("item").alias("word"))), "candidates")
 
-    usable = base_counts(rows, "text").select("lang", "text", (~_failed() & (F.col("n_words") >= min_words)).alias("usable"))
+    usable = base_counts(rows, "text").withColumn("usable", ~_failed() & (F.col("n_words") >= min_words))
     key = (F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
     small = lambda c: c.cast("array<int>")
     chars, counted = small(_class_counts(F.col("text"))), small(_word_counts(F.col("text"), F.col("table")))
-    figures = _beside(usable, candidates, "lang", counts).select("lang", *key, "usable", chars.alias("char"), counted.alias("word"))
+    figures = _beside(usable, candidates, "lang", counts).select(
+        *(["row"] if keep else []), "lang", *key, *MEASURES, "usable", chars.alias("char"), counted.alias("word")
+    )
     figures = scratch.save(figures, "figures")
 
     # what the candidates count over all texts decides, exactly, which of them are common
@@ -250,20 +248,57 @@ def references(
         shares = lambda x, n: F.transform(x, lambda v: F.floor(v.cast("long") * PPM / F.greatest(n, F.lit(1))).cast("int"))
         return let(c, lambda x: let(_total(x), lambda n: shares(x, n)))
 
-    def chosen(word: Column) -> Column:
-        held = F.transform("bins", lambda i: F.get(word, i))
-        return let(held, lambda h: F.concat(h, F.array((_total(word) - _total(h)).cast("int"))))
-
-    word = F.when(F.col("bins").isNotNull(), ppm(chosen(F.col("word"))))
+    word = F.when(F.col("bins").isNotNull(), ppm(_chosen(F.col("word"))))
     texts = scratch.save(texts.select("lang", ppm(F.col("char")).alias("char"), word.alias("word")), "texts")
     enough = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts).select("lang")
-    out = enough.join(common, "lang", "left")
+    out = enough.join(common, "lang", "left").join(bins, "lang", "left")
     for kind in ("char", "word"):
         sums = texts.select("lang", F.posexplode(kind).alias("bin", "x")).groupBy("lang", "bin").agg(F.sum("x").alias("x"))
         shares = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bin", "x"))).alias("s"))
         share = F.when(_total(F.col("s.x")) > 0, let(_total(F.col("s.x")), lambda n: F.transform("s.x", lambda x: x / n)))
         out = out.join(shares.select("lang", share.alias(f"{kind}_reference")), "lang", "left")
-    return scratch.save(out, "references"), counts
+    return scratch.save(out, "references"), counts, figures
+
+
+def _chosen(word: Column) -> Column:
+    """Counts by the places in ``bins`` and, last, of all other words."""
+    held = F.transform("bins", lambda i: F.get(word, i))
+    return let(held, lambda h: F.concat(h, F.array((_total(word) - _total(h)).cast("int"))))
+
+
+def _verdict(char_bound: tuple[float, float], word_bound: tuple[float, float]) -> Column:
+    def near(distance: str, bound: tuple[float, float]) -> Column:
+        return F.coalesce(F.col(distance) <= F.lit(bound[0]) + F.lit(bound[1]) / F.sqrt(F.col("n_words").cast("double")), F.lit(True))
+
+    return ~F.col("base_failed") & near("char_distance", char_bound) & near("word_distance", word_bound)
+
+
+ADDED = (*MEASURES, "base_failed", "char_distance", "word_distance", "kept")
+
+
+def judge(
+    docs: DataFrame,
+    *,
+    text: str = "text",
+    lang: str = "lang",
+    share_per_mille: int = SHARE_PER_MILLE,
+    min_words: int = MIN_WORDS,
+    min_texts: int = MIN_TEXTS,
+    char_bound: tuple[float, float] = CHAR_BOUND,
+    word_bound: tuple[float, float] = WORD_BOUND,
+) -> DataFrame:
+    """As :func:`quality_rules`, without the text column: the figures that made the references give the verdicts too.
+
+    Texts are read twice in all, once for common words and once for figures.
+    """
+    keep = [c for c in docs.columns if c not in ADDED and c != text]
+    table, counts, figures = _prepare(docs, text, lang, share_per_mille, min_words, min_texts, keep)
+    rows = _beside(figures, table.select("lang", "bins", "char_reference", "word_reference"), "lang", counts)
+    char, word = F.col("char_reference"), F.col("word_reference")
+    rows = rows.withColumn("base_failed", _failed())
+    rows = rows.withColumn("char_distance", F.when(F.col("usable") & char.isNotNull(), _distance(F.col("char"), char)))
+    rows = rows.withColumn("word_distance", F.when(F.col("usable") & word.isNotNull(), _distance(_chosen(F.col("word")), word)))
+    return rows.select(*(["row.*"] if keep else []), *ADDED[:-1], _verdict(char_bound, word_bound).alias("kept"))
 
 
 def quality_rules(
@@ -291,10 +326,10 @@ def quality_rules(
     are replaced, others of whatever name pass through. An empty table gives an empty
     table.
     """
-    table, counts = references(docs, text=text, lang=lang, share_per_mille=share_per_mille, min_words=min_words, min_texts=min_texts)
-    added = (*MEASURES, "base_failed", "char_distance", "word_distance", "kept")
-    kept = [c for c in docs.columns if c not in added]
-    names = {c: fresh(f"_{c}", [*docs.columns, *added]) for c in ("lang", "text", *table.columns[1:])}
+    table, counts, _ = _prepare(docs, text, lang, share_per_mille, min_words, min_texts, [])
+    table = table.drop("bins")
+    kept = [c for c in docs.columns if c not in ADDED]
+    names = {c: fresh(f"_{c}", [*docs.columns, *ADDED]) for c in ("lang", "text", *table.columns[1:])}
     rows = docs.select(*kept, F.coalesce(F.col(lang), F.lit("und")).alias(names["lang"]), F.coalesce(F.col(text), F.lit("")).alias(names["text"]))
     rows = _beside(rows, table.withColumnsRenamed({c: names[c] for c in table.columns[1:]}), names["lang"], counts)
     col = {k: F.col(v) for k, v in names.items()}
@@ -304,16 +339,12 @@ def quality_rules(
     counted = _word_counts(col["text"], col["table"])
     rows = rows.withColumn("word_distance", F.when(judged & col["word_reference"].isNotNull(), _distance(counted, col["word_reference"])))
 
-    def near(distance: str, bound: tuple[float, float]) -> Column:
-        return F.coalesce(F.col(distance) <= F.lit(bound[0]) + F.lit(bound[1]) / F.sqrt(F.col("n_words").cast("double")), F.lit(True))
-
-    verdict = ~F.col("base_failed") & near("char_distance", char_bound) & near("word_distance", word_bound)
-    return rows.select(*kept, *MEASURES, "base_failed", "char_distance", "word_distance", verdict.alias("kept"))
+    return rows.select(*kept, *MEASURES, "base_failed", "char_distance", "word_distance", _verdict(char_bound, word_bound).alias("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 _SQL_CLASSES = ", ".join(f"len(regexp_replace(t, '{x}', '', 'g'))" for x in (

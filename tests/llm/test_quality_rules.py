@@ -108,6 +108,18 @@ def test_matches_brute_force(documents, rows):
     assert any(not r.kept for r in judged) and any(r.kept for r in judged)
 
 
+def test_verdicts_without_texts_are_the_same(documents, rows, edge):
+    docs = documents([(i, text, lang) for i, (lang, text) in enumerate(rows)])
+    for df in (docs, edge.select("*", *[F.lit("mine").alias(c) for c in ("row", "char", "bins", "usable", "table", "a", "kept", "n_words")])):
+        one = Q.quality_rules(df, min_words=25, min_texts=5).drop("text")
+        two = Q.judge(df, min_words=25, min_texts=5)
+        assert one.columns == two.columns
+        key = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+        assert sorted(map(str, map(key, one.collect()))) == sorted(map(str, map(key, two.collect())))
+    assert Q.judge(documents([])).count() == 0 and Q.judge(docs.select("text", "lang")).columns[0] == "lang"
+    assert "Python" not in Q.judge(docs)._jdf.queryExecution().toString()
+
+
 def test_languages_joined_by_key(documents, rows, monkeypatch):
     docs = documents([(i, text, lang) for i, (lang, text) in enumerate(rows)])
     want = {r.doc_id: r.kept for r in Q.quality_rules(docs, min_words=25, min_texts=5).collect()}
