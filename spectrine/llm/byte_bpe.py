@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bound_batches
+from .skew import fresh
 
 PIECE = 65_536
 
@@ -84,6 +85,22 @@ def decode(packed: Column, path: str, pattern: str) -> Column:
     return run.asNondeterministic()(packed)
 
 
+def encode_and_decode(text: Column, path: str, pattern: str, *, size: int = PIECE) -> Column:
+    """``ids`` as of :func:`encode` and ``decoded`` as of :func:`decode` in one struct.
+
+    Both functions in one plan take two Python workers a task, each with a codec
+    of its own, and carry the ids to and fro; this takes one.
+    """
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        codec = _codec(path, pattern)
+        ids = [codec.encode(x, size) for x in texts]
+        return pd.DataFrame({"ids": ids, "decoded": [codec.decode(x) for x in ids]}, dtype=object)
+
+    return run.asNondeterministic()(text)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, *, text: str = "text", size: int = PIECE) -> DataFrame:
     """Every row and column of ``docs`` plus ``ids``, ``n_tokens`` and ``decoded``.
 
@@ -94,10 +111,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, text: str = "t
     table gives an empty table.
     """
     bound_batches(docs.sparkSession)
+    both = fresh("both", docs.columns)
     return (
-        docs.withColumn("ids", encode(F.col(text), path, pattern, size=size))
+        docs.withColumn(both, encode_and_decode(F.col(text), path, pattern, size=size))
+        .withColumn("ids", F.col(both)["ids"])
         .withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-        .withColumn("decoded", decode(F.col("ids"), path, pattern))
+        .withColumn("decoded", F.col(both)["decoded"])
+        .drop(both)
     )
 
 

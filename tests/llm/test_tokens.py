@@ -84,6 +84,16 @@ def test_digests(edge, encoding):
     assert codec.decode(part) == encoding.decode_single_token_bytes(int(np.frombuffer(part, "<u4")[0]))
 
 
+def test_one_python_worker_a_task(edge):
+    docs = edge.selectExpr("*", "'a' as both", "'b' as n_tokens")
+    out = byte_bpe.encode_documents(docs, RANKS, P.PATTERN)
+    assert out.columns == [*docs.columns, "ids", "decoded"] and {r.both for r in out.collect()} == {"a"}
+    apart = docs.withColumn("ids", byte_bpe.encode(docs.text, RANKS, P.PATTERN)).withColumn("decoded", byte_bpe.decode(byte_bpe.F.col("ids"), RANKS, P.PATTERN))
+    assert sorted((r.ids, r.decoded) for r in out.collect()) == sorted((r.ids, r.decoded) for r in apart.collect())
+    for df in (out, byte_bpe.digests(edge)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 @settings(max_examples=150, deadline=None)
 @given(parts=st.lists(st.sampled_from([*ODD, "。", "，漢", "\r\n", "Σ", "ᄀ", "ᅡ", "    "]), min_size=1, max_size=60), chunk=st.integers(4, 40), overlap=st.integers(1, 8))
