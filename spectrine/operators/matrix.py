@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..errors import DataError
 from ..functions.columns import all_finite, doubles, even_places, finite
+from ..shared import Tables
 
 SCHEMA = "sample_id long, spectrum array<double>, target double"
 
@@ -64,16 +65,21 @@ def assemble_long(
 
 
 def header_places(df: DataFrame, header: str) -> DataFrame:
-    """(header, j): every header that occurs, numbered from 0 in order; nulls are no header."""
-    found = df.where(F.col(header).isNotNull()).select(F.col(header).alias("header")).distinct()
-    return with_position(found, order="header", name="j").select("header", F.col("j").cast("int").alias("j"))
+    """(header, j): every header that occurs, numbered from 0 in order; nulls are no header. One pass over the rows."""
+    tables = Tables(df.sparkSession, "headers")
+    found = tables.save(df.where(F.col(header).isNotNull()).select(F.col(header).alias("header")).distinct(), "found")
+    return tables.save(with_position(found, order="header", name="j").select("header", F.col("j").cast("int").alias("j")), "places")
 
 
 def assemble_sparse(
-    df: DataFrame, key: str | Sequence[str], header: str, value: str, *, places: DataFrame | None = None, fill: float = 0.0, agg=F.sum
+    df: DataFrame, key: str | Sequence[str], header: str, value: str, *, places: DataFrame | None = None, fill: float = 0.0, agg=F.sum, dense: bool = True
 ) -> DataFrame:
     """(key…, spectrum) from (key, header, value) rows, for any number of headers.
 
+    Where not ``dense``, (key…, size, indices, values) instead: the places and values of the cells that are there, by
+    place, of ``size`` in all, the others being ``fill``. Rows then take memory and time by their cells, not by
+    keys times headers.
+
     Headers are a table, by default those that occur, and never leave the executors. Cells are
     aggregated by (key, header) in the tasks and once more, meet their header's place,
     and only the cells that are there travel to their key: a key's list has at most one
@@ -90,6 +96,9 @@ def assemble_sparse(
     cells = cells.join(places.select("header", "j"), "header", "left")
     there = F.when(F.col("j").isNotNull() & F.col("v").isNotNull(), F.struct("j", "v"))
     lists = cells.groupBy(*names).agg(F.collect_list(there).alias("c"))
+    if not dense:
+        lists = lists.withColumn("c", F.array_sort("c")).toDF(*keys, "c")
+        return lists.select(*keys, F.lit(width).cast("int").alias("size"), F.col("c.j").alias("indices"), F.col("c.v").alias("values"))
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, 4_000_000 // max(1, width))

@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 
 import __spark_entry__
+from spectrine.operators import matrix
 
 
 def both(spark, name, folder, **tables):
@@ -35,3 +36,16 @@ def test_best_of_a_sweep_is_chosen_by_unrounded_errors(spark, tmp_path):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got, want = both(spark, "pls_select", tmp_path, embeddings=vectors)
     assert got == want
+
+
+def test_wide_rows_are_made_of_their_cells(spark, tmp_path):
+    """A supplier whose quantities add up to nothing stays, and no row is laid out over all headers."""
+    lines = [(1, 10, 5.0), (1, 30, 2.0), (1, 30, 1.0), (2, 20, 4.0), (2, 20, -4.0), (3, 40, 0.5), (None, 10, 2.0)]
+    lines += [(k, 1000 * k + 1, 1.0) for k in range(4, 60)]
+    df = spark.createDataFrame(lines, "l_suppkey long, l_partkey long, l_quantity double")
+    got, want = both(spark, "assemble_sparse", tmp_path, lineitem=df)
+    assert got == want and (2, 60, 0, 0.0, 0.0) in got
+    sparse = matrix.assemble_sparse(df, "l_suppkey", "l_partkey", "l_quantity", dense=False)
+    assert "mapinarrow" not in sparse._jdf.queryExecution().toString().lower()
+    rows = {r.l_suppkey: (r.size, r.indices, r["values"]) for r in sparse.collect()}
+    assert rows[1] == (60, [0, 2], [5.0, 3.0]) and rows[None] == (60, [0], [2.0])
