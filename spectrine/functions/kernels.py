@@ -66,55 +66,154 @@ def squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x - y) ** 2).sum(-1)
 
 
-def screened(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Squared distances of all rows of ``x`` to all of ``y``, as one product, and how far they may be off.
-
-    Both must be centred alike.
-    """
-    a, b = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
-    slack = 1e-13 * x.shape[1] * float(a.max(initial=0) + b.max(initial=0)) + 1e-300
-    return a[:, None] + b[None, :] - 2 * x @ y.T, slack
+#: Values of an intermediate matrix, and of the pairs whose distances are taken by differences at once.
+_CELLS, _PAIRS = 1_000_000, 2_000_000
+#: Rows of one side that a product takes, so that it stays in the caches.
+_TILE = 2048
 
 
-def farthest(x: np.ndarray, y: np.ndarray, apart: np.ndarray | None = None, least: float = -1.0) -> tuple[float, int, int, bool] | None:
-    """(squared distance, row of x, row of y, whether others equal it) of the farthest pair, the first of equal ones.
+class Screen:
+    """Squared distances to the rows of ``y`` as one product in single precision, and how far they may be off.
 
-    None if all pairs are nearer than ``least``.
+    Rows are moved to ``centre`` and scaled by ``scale``, so that single precision holds them; so are the distances.
+    """
 
-    ``apart`` marks pairs that count. Products choose, differences decide.
+    def __init__(self, y: np.ndarray, centre: np.ndarray, kind: type = np.float32):
+        moved = y - centre
+        self.y, self.centre, self.kind = y, centre, kind
+        self.norms = np.einsum("ij,ij->i", moved, moved)
+        self.most = float(self.norms.max(initial=0.0))
+        self.scale = 1.0 / self.most if 1e-290 < self.most < np.inf else 1.0
+        self.factor = np.empty((y.shape[1] + 1, len(y)), kind)
+        self.factor[:-1] = (-2 * np.sqrt(self.scale)) * moved.T
+        self.factor[-1] = self.norms * self.scale
+
+    def rows(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``times`` takes, the scaled squared norms, and by how much a distance of each row may be off."""
+        moved = (x - self.centre) * np.sqrt(self.scale)
+        norms = np.einsum("ij,ij->i", moved, moved)
+        slack = (x.shape[1] + 8) * 2 * float(np.finfo(self.kind).eps) * (norms + self.most * self.scale) + 1e-30
+        if self.kind is np.float32 and norms.max(initial=0.0) > 1e30:  # beyond single precision: nothing is told from anything
+            moved, slack = np.where(norms[:, None] > 1e30, 0.0, moved), np.where(norms > 1e30, np.inf, slack)
+        out = np.ones((len(x), x.shape[1] + 1), self.kind)
+        out[:, :-1] = moved
+        return out, norms, slack
+
+    def times(self, rows: np.ndarray) -> np.ndarray:
+        """Scaled squared distances less the squared norm of each row."""
+        return rows @ self.factor
+
+
+def _exact(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, squared distance) of pairs of rows, by parts."""
+    step = max(1, _PAIRS // max(1, x.shape[1]))
+    for c in range(0, len(i), step):
+        yield i[c : c + step], j[c : c + step], squares(x[i[c : c + step]], y[j[c : c + step]])
+
+
+def farthest(x: np.ndarray, names: np.ndarray, y: np.ndarray, others: np.ndarray, centre: np.ndarray, least: float = -1.0) -> tuple[float, int, int] | None:
+    """(squared distance, smaller name, larger name) of the farthest pair of a row of ``x`` and one of ``y``.
+
+    Of equal pairs the one with the smallest names; rows of one name are no pair. None if all pairs are nearer
+    than ``least``. Products choose, differences decide.
     """
-    best, step = None, max(1, 2_000_000 // max(1, len(y)))
-    for k in range(0, len(x), step):
-        near, slack = screened(x[k : k + step], y)
-        if apart is not None:
-            near = np.where(apart[k : k + step], near, -np.inf)
-        bound = max(near.max(initial=-np.inf), least if best is None else best[0]) - slack
-        rows, columns = np.nonzero(near >= bound)
-        for c in range(0, len(rows), 500_000):
-            i, j = rows[c : c + 500_000] + k, columns[c : c + 500_000]
-            d = squares(x[i], y[j])
-            at = int(np.argmax(d))
-            equal = int((d == d[at]).sum()) > 1
-            if d[at] >= least and (best is None or d[at] > best[0]):
-                best = (float(d[at]), int(i[at]), int(j[at]), equal)
-            elif best is not None and d[at] == best[0]:
-                best = (*best[:3], True)
+    best: tuple[float, int, int] | None = None
+    for c in range(0, len(y), _TILE):
+        found = _farthest_of(x, names, y[c : c + _TILE], others[c : c + _TILE], centre, least if best is None else best[0]) if len(x) else None
+        if found and (best is None or (-found[0], *found[1:]) < (-best[0], *best[1:])):
+            best = found
     return best
 
 
-def nearest_squares(x: np.ndarray, chosen: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+def _farthest_of(x: np.ndarray, names: np.ndarray, y: np.ndarray, others: np.ndarray, centre: np.ndarray, least: float) -> tuple[float, int, int] | None:
+    """:func:`farthest` for as many rows of ``y`` as a product takes."""
+    best: tuple[float, int, int] | None = None
+    coarse, fine = Screen(y, centre), None
+    for k in range(0, len(x), step := max(1, _CELLS // len(y))):
+        part, held = x[k : k + step], coarse
+        for _ in range(2):
+            rows, norms, slack = held.rows(part)
+            far = held.times(rows)
+            known = (least if best is None else best[0]) * held.scale
+            top = norms + far.max(1)
+            bound = max(known, float((top - slack).max()))
+            some = np.nonzero(~(top + slack < bound))[0]
+            i, j = np.nonzero(~(far[some] < (bound - norms - slack)[some, None]))
+            i = some[i]
+            if held is not coarse or len(i) <= 16 * len(part):
+                break
+            fine = held = fine or Screen(y, centre, np.float64)
+        keep = names[i + k] != others[j]
+        for i, j, d in _exact(part, y, i[keep], j[keep]):
+            most = d.max()
+            if most >= least and (best is None or most >= best[0]):
+                tied = d == most
+                a, b = names[i[tied] + k], others[j[tied]]
+                low, high = np.minimum(a, b), np.maximum(a, b)
+                at = np.lexsort((high, low))[0]
+                found = (float(most), low[at].item(), high[at].item())
+                if best is None or (-found[0], *found[1:]) < (-best[0], *best[1:]):
+                    best = found
+    return best
+
+
+def nearest_squares(x: np.ndarray, chosen: np.ndarray, nearest: np.ndarray, centre: np.ndarray) -> np.ndarray:
     """The smaller of ``nearest`` and each row's squared distance to the nearest row of ``chosen``."""
-    out, step = nearest.copy(), max(1, 2_000_000 // max(1, len(chosen)))
-    for k in range(0, len(x), step):
-        near, slack = screened(x[k : k + step], chosen)
-        low = near.min(1)
-        rows, columns = np.nonzero((near <= (low + 2 * slack)[:, None]) & (low < out[k : k + step] + slack)[:, None])
-        for c in range(0, len(rows), 500_000):
-            i, j = rows[c : c + 500_000] + k, columns[c : c + 500_000]
-            np.minimum.at(out, i, squares(x[i], chosen[j]))
+    out = nearest.copy()
+    for c in range(0, len(chosen), _TILE):
+        _lower(out, x, chosen[c : c + _TILE], centre)
     return out
 
 
+def _lower(out: np.ndarray, x: np.ndarray, chosen: np.ndarray, centre: np.ndarray) -> None:
+    """:func:`nearest_squares` in place, for as many rows of ``chosen`` as a product takes."""
+    coarse, fine = Screen(chosen, centre), None
+    for k in range(0, len(x), step := max(1, _CELLS // len(chosen))):
+        part, now = x[k : k + step], out[k : k + step]
+        some, held = np.arange(len(part)), coarse
+        for _ in range(2):
+            rows, norms, slack = held.rows(part[some])
+            near = held.times(rows)
+            low = near.min(1)
+            limit = np.minimum(low + 2 * slack, now[some] * held.scale - norms + slack)
+            less = np.nonzero(~(low > limit))[0]
+            i, j = np.nonzero(~(near[less] > limit[less, None]))
+            i = some[less[i]]
+            if held is not coarse or len(i) <= 16 * len(part):
+                break
+            some, held = some[less], fine or Screen(chosen, centre, np.float64)
+            fine = held
+        for i, j, d in _exact(part, chosen, i, j):
+            np.minimum.at(now, i, d)
+
+
+def choose(x: np.ndarray, nearest: np.ndarray, most: int, beaten: Callable[[float, int], bool] | None = None, *, tabled: int = 4096) -> np.ndarray:
+    """Row numbers chosen one after another: always the row farthest from those chosen, of equal ones the first.
+
+    ``nearest`` holds each row's squared distance to those chosen before, -1 for these. It ends after ``most``
+    choices, or when ``beaten(distance, row)`` says that a row which is not here is better. Up to ``tabled`` rows all
+    products are made at once.
+    """
+    nearest, chosen = nearest.copy(), []
+    screen = Screen(x, x.mean(0))
+    rows, norms, slack = screen.rows(x)
+    table = screen.times(rows) if len(x) <= tabled else None
+    # a row's distance may be lowered where the product lies below this
+    limit = nearest * screen.scale + slack
+    for _ in range(min(most, int((nearest >= 0).sum()))):
+        at = int(np.argmax(nearest))
+        if beaten is not None and beaten(float(nearest[at]), at):
+            break
+        chosen.append(at)
+        near = table[at] if table is not None else rows[at] @ screen.factor
+        lower = np.nonzero(near < limit - norms[at] + slack[at])[0]
+        if len(lower):
+            nearest[lower] = np.minimum(nearest[lower], squares(x[lower], x[at]))
+            limit[lower] = nearest[lower] * screen.scale + slack[lower]
+        nearest[at] = limit[at] = -1.0
+    return np.array(chosen, dtype=np.int64)
+
+
 def kennard_stone(x: np.ndarray, n_train: int) -> np.ndarray:
     """Row numbers in order of selection: the farthest pair, then always the row farthest from those chosen.
 
@@ -126,23 +225,16 @@ def kennard_stone(x: np.ndarray, n_train: int) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     if n == 1:
         return np.zeros(1, dtype=np.int64)
-    x = x - x.mean(0)
-    best, step = (-1.0, 0, 1), max(1, 2_000_000 // n)
-    for a in range(0, n - 1, step):
-        apart = np.arange(a, min(n, a + step))[:, None] < np.arange(n)[None, :]
-        found = farthest(x[a : a + step], x, apart, best[0])
-        if found and found[0] > best[0]:
-            best = (found[0], found[1] + a, found[2])
-    chosen = list(best[1:])[:n_train]
-    nearest = np.min([squares(x, x[i]) for i in chosen], axis=0)
-    taken = np.zeros(n, dtype=bool)
-    taken[chosen] = True
-    while len(chosen) < n_train:
-        at = int(np.argmax(np.where(taken, -1.0, nearest)))
-        chosen.append(at)
-        taken[at] = True
-        nearest = np.minimum(nearest, squares(x, x[at]))
-    return np.array(chosen, dtype=np.int64)
+    x, centre, names = np.asarray(x, float), x.mean(0), np.arange(n)
+    best: tuple[float, int, int] | None = None
+    for a in range(0, n, 4096):  # a block meets itself and what follows it
+        found = farthest(x[a:], names[a:], x[a : a + 4096], names[a : a + 4096], centre, -1.0 if best is None else best[0])
+        if found and (best is None or (-found[0], *found[1:]) < (-best[0], *best[1:])):
+            best = found
+    first = list(best[1:])[:n_train]
+    nearest = np.min([squares(x, x[i]) for i in first], axis=0)
+    nearest[first] = -1.0
+    return np.r_[np.array(first, dtype=np.int64), choose(x, nearest, n_train - len(first))]
 
 
 def test_rows(n: int, test_size: float) -> int:

@@ -66,3 +66,24 @@ def test_large_groups_go_by_passes(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) and set(key) < set(got.columns)
     with pytest.raises(DataError):
         split.kennard_stone_split(df, 0.25, group="kind", max_group=40)
+
+
+def test_equal_distances_of_the_spectra_as_given(spark):
+    """On a grid many distances are equal, which a shift by the mean must not tell apart."""
+    x = np.random.default_rng(397).integers(0, 4, (18, 3)).astype(float)
+    assert kernels.kennard_stone(x, 17).tolist() == brute(x, 17)
+    x = np.random.default_rng(6).integers(0, 3, (150, 4)).astype(float) * 0.1
+    df = table(spark, x).repartition(3)
+    assert orders(split.kennard_stone_split(df, 0.2, block=20)) == orders(split.kennard_stone_split(df, 0.2)) == brute(x, 120)
+
+
+def test_outliers_and_scales(spark):
+    """Products in single precision only screen: a far row, tiny and huge values do not change the order."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(160, 5))
+    for y in (np.vstack([x, [[1e9] * 5]]), x * 1e-170, x * 1e25, np.vstack([x * 1e-9, x + 50.0])):
+        want = brute(y, len(y) - kernels.test_rows(len(y), 0.3))
+        assert kernels.kennard_stone(y, len(want)).tolist() == want
+    df = table(spark, np.vstack([x, [[1e9] * 5]])).selectExpr("'k' || lpad(sample_id, 4, '0') AS sample_id", "spectrum", "kind")
+    got = orders(split.kennard_stone_split(df, 0.3, block=40))
+    assert got == [f"k{i:04d}" for i in brute(np.vstack([x, [[1e9] * 5]]), 112)]
