@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from typing import Any
+from weakref import WeakKeyDictionary
 
 import numpy as np
 from pyspark import keyword_only
@@ -29,6 +30,7 @@ from .functions.losses import bind_training_loss
 from .functions.metrics import Metric, find_metric, metric
 from .operators import pls, split
 from .plans.definition import compile_plan
+from .shared import Tables
 
 
 def _param(name: str, doc: str, kind) -> Param:
@@ -78,7 +80,13 @@ class SavitzkyGolay(_Stage, Transformer, HasInputCol, HasOutputCol, DefaultParam
 
 
 class KennardStoneSplit(_Stage, Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Adds a column ``train`` or ``test`` by a maximin split on the input spectra."""
+    """Adds a column ``train`` or ``test`` by a maximin split on the input spectra.
+
+    The split of a DataFrame is kept in the shared folder as long as that object lives, so the passes of a fit, and a fitted
+    or loaded pipeline that is applied to it again, find it there.
+    """
+
+    _known: WeakKeyDictionary = WeakKeyDictionary()
 
     testSize = _param("testSize", "share of test rows", TypeConverters.toFloat)
     idCol = _param("idCol", "unique row id", TypeConverters.toString)
@@ -90,7 +98,13 @@ class KennardStoneSplit(_Stage, Transformer, HasInputCol, HasOutputCol, DefaultP
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, out = self.getOrDefault(self.idCol), self.getOutputCol()
-        parts = split.kennard_stone_split(dataset, self.getOrDefault(self.testSize), key=key, spectrum=self.getInputCol())
+        asked = (self.getOrDefault(self.testSize), key, self.getInputCol())
+        known = self._known.setdefault(dataset, {})
+        if asked not in known or not known[asked][0].has("split"):
+            tables = Tables(dataset.sparkSession, "split")
+            parts = split.kennard_stone_split(dataset, asked[0], key=key, spectrum=asked[2]).select("sample_id", "partition")
+            known[asked] = (tables, tables.save(parts, "split"))
+        parts = known[asked][1]
         return dataset.join(parts.select(F.col("sample_id").alias(key), F.col("partition").alias(out)), key)
 
 

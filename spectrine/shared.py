@@ -32,7 +32,15 @@ class Tables:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _at(self, name: str) -> tuple:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def has(self, name: str) -> bool:
+        files, path = self._at(name)
+        return files.exists(path)
+
     def drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            files, path = self._at(name)
+            files.delete(path, True)

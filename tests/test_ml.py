@@ -150,3 +150,16 @@ def test_wide_fit_equals_the_gram_fit(spark, data, monkeypatch):
         assert np.allclose(mine, beta_t[k] * y.std() + y.mean(), atol=1e-6)
     with pytest.raises(DataError):
         pls.fit_wide(table(spark, np.where(x > 0, np.nan, 1)[:, :5], y), 2)
+
+
+def test_split_of_a_table_is_made_once(spark, monkeypatch):
+    from spectrine.operators import split
+
+    made, real = [], split.kennard_stone_split
+    monkeypatch.setattr(split, "kennard_stone_split", lambda *a, **k: made.append(1) or real(*a, **k))
+    df = spark.createDataFrame([(i, [float(i % 7), float(i * i % 11)], 1.0) for i in range(30)], "sample_id long, spectrum array<double>, target double")
+    first = sorted(map(tuple, ml.KennardStoneSplit(testSize=0.3).transform(df).collect()))
+    again = sorted(map(tuple, ml.KennardStoneSplit(testSize=0.3).transform(df).collect()))
+    assert first == again and len(first) == 30 and len(made) == 1
+    other = ml.KennardStoneSplit(testSize=0.5).transform(df)
+    assert len(made) == 2 and other.where("partition = 'test'").count() == 15
